@@ -8,8 +8,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ringtrail.operators.parse import add_event_time, add_partition_columns, parse_cdr
 from ringtrail.operators.sessions import HOT_ROWS, SLICE_SECONDS
+from ringtrail.plans.batch import records_of
 from ringtrail.plans.enrich import enrich
 from ringtrail.schema import CDR_FIELDS
 from ringtrail.sinks.tables import write_batch
@@ -35,9 +35,6 @@ def start_enrichment(
     Both kinds of records go through one query, so the feed is read once and nothing else writes
     the table. One row per `unique_cdr_id` is kept within a micro-batch, not across them.
     """
-    records = parse_cdr(feed, fields)
-    if epoch_unit is not None:
-        records = add_event_time(records, epoch_unit)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Streams start without adaptive execution; it is safe here, as nothing keeps state.
@@ -54,7 +51,7 @@ def start_enrichment(
             batch.unpersist()
 
     writer = (
-        add_partition_columns(records)
+        records_of(feed, fields, epoch_unit)
         .writeStream.foreachBatch(handle)
         .queryName(query_name)
         .option("checkpointLocation", checkpoint)

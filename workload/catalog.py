@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ringtrail import storage
 from ringtrail.operators.addresses import explode_addresses
-from ringtrail.operators.parse import add_event_time, add_partition_columns, parse_cdr
+from ringtrail.operators.parse import parse_cdr
 from ringtrail.operators.sessions import newest_session, pick_latest
 from ringtrail.operators.subscribers import identified, join_subscribers, unidentified
 from ringtrail.plans import compact, enrich
+from ringtrail.plans.batch import enrich_feed, records_of
 from ringtrail.schema import (
     ENRICHED_SCHEMA,
     IMSI_DICTIONARY,
@@ -47,12 +48,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return add_partition_columns(parse_cdr(feed.cdr_raw(spark, sf_dir)))
-
-
-def wide_cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = parse_cdr(feed.wide_raw(spark, sf_dir), WIDE_CDR_FIELDS)
-    return add_partition_columns(add_event_time(records, "millis"))
+    return records_of(feed.cdr_raw(spark, sf_dir))
 
 
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,8 +118,8 @@ def enrich_by_ip_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich.enrich(
-        cdr(spark, sf_dir), subscribers(spark, sf_dir), sessions(spark, sf_dir)
+    return enrich_feed(
+        feed.cdr_raw(spark, sf_dir), subscribers(spark, sf_dir), sessions(spark, sf_dir)
     )
 
 
@@ -132,8 +128,12 @@ def enrich_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = enrich.enrich(
-        wide_cdr(spark, sf_dir), subscribers(spark, sf_dir), sessions(spark, sf_dir)
+    rows = enrich_feed(
+        feed.wide_raw(spark, sf_dir),
+        subscribers(spark, sf_dir),
+        sessions(spark, sf_dir),
+        WIDE_CDR_FIELDS,
+        epoch_unit="millis",
     )
     return plain(rows)
 
@@ -172,9 +172,7 @@ def stream_identified(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Branch A alone, joined inside the stream and appended by the plain streaming sink."""
     work = storage.work_folder(spark, "stream")
     raw = open_feed(spark, "text", path=_feed_folder(spark, sf_dir, work))
-    rows = enrich.enrich_by_imsi(
-        add_partition_columns(parse_cdr(raw)), subscribers(spark, sf_dir)
-    )
+    rows = enrich.enrich_by_imsi(records_of(raw), subscribers(spark, sf_dir))
     stream_to_table(
         rows,
         f"{work}/table",
