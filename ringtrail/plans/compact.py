@@ -12,8 +12,10 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import batched
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ringtrail import storage
 from ringtrail.functions.sizing import MERGE_FROM_FILES, TARGET_BYTES, file_count
@@ -95,13 +97,18 @@ def compact_copy(
     target_bytes: int = TARGET_BYTES,
     merge_from: int = MERGE_FROM_FILES,
     up_to_batch: int | None = None,
+    schema: StructType | None = None,
     format: str = "parquet",
 ) -> None:
-    """Replace directories of the target by compacted copies of those of the source."""
+    """Replace directories of the target by compacted copies of those of the source.
+
+    The schema is taken from the files if none is given, which costs one more listing.
+    """
     _require_apart(roots, target)
-    rows = _snapshot(spark, roots, up_to_batch, format)
-    if rows is None:
+    scans = _snapshot(spark, roots, up_to_batch, schema, format)
+    if not scans:
         return
+    rows = reduce(DataFrame.unionByName, scans)
     for part in _rewritten(spark, rows, roots, target_bytes, merge_from, up_to_batch):
         _write(part, target, "overwrite", format)
     _require_whole(rows, read_table(spark, target, rows.schema, format=format))
@@ -114,6 +121,7 @@ def compact_move(
     target_bytes: int = TARGET_BYTES,
     merge_from: int = MERGE_FROM_FILES,
     up_to_batch: int | None = None,
+    schema: StructType | None = None,
     format: str = "parquet",
 ) -> None:
     """Add compacted source rows to the target, then delete exactly the files they came from.
@@ -123,14 +131,16 @@ def compact_move(
     """
     _require_apart(roots, target)
     finish_moves(spark, target)
-    rows = _snapshot(spark, roots, up_to_batch, format)
-    if rows is None:
+    scans = _snapshot(spark, roots, up_to_batch, schema, format)
+    if not scans:
         return
+    rows = reduce(DataFrame.unionByName, scans)
     move = f"{target.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
     for part in _rewritten(spark, rows, roots, target_bytes, merge_from, up_to_batch):
         _write(part, f"{move}/rows", "append", format)
     _require_whole(rows, read_table(spark, f"{move}/rows", rows.schema, format=format))
-    rows.select("_metadata.file_path").distinct().write.text(f"{move}/sources")
+    paths = [scan.select("_metadata.file_path").distinct() for scan in scans]
+    reduce(DataFrame.unionByName, paths).write.text(f"{move}/sources")
     finish_moves(spark, target)
 
 
@@ -157,16 +167,21 @@ def _require_apart(roots: Sequence[str], target: str) -> None:
 
 
 def _snapshot(
-    spark: SparkSession, roots: Sequence[str], up_to_batch: int | None, format: str
-) -> DataFrame | None:
-    """The rows now in the roots. The file list is fixed here, whatever arrives later."""
-    filled = [root for root in roots if not table_files(spark, root, up_to_batch).isEmpty()]
-    if not filled:
-        return None
-    return reduce(
-        DataFrame.unionByName,
-        [read_table(spark, root, up_to_batch=up_to_batch, format=format) for root in filled],
-    )
+    spark: SparkSession,
+    roots: Sequence[str],
+    up_to_batch: int | None,
+    schema: StructType | None,
+    format: str,
+) -> list[DataFrame]:
+    """One scan per root that has files. Its file list is fixed here, whatever arrives later."""
+    scans = []
+    for root in roots:
+        try:
+            scans.append(read_table(spark, root, schema, up_to_batch, format))
+        except AnalysisException as error:
+            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    return scans
 
 
 def _rewritten(
