@@ -121,18 +121,16 @@ def pick_latest(matched: DataFrame) -> DataFrame:
     )
 
 
-def _address_hash() -> Column:
-    """Short stand-in for an address; two addresses that share one are treated alike."""
-    return F.xxhash64(*ADDRESS)
-
-
 def _hot_addresses(arrivals: DataFrame, sessions: DataFrame, hot_rows: int) -> list[int]:
-    """Hashes of the heaviest addresses; counted on the map side first, at most MAX_HOT numbers."""
+    """Hashes of the heaviest addresses; counted on the map side first, at most MAX_HOT numbers.
+
+    Two addresses that share a hash are treated alike, which is exact either way.
+    """
     keys = arrivals.filter(F.col("probe").isNotNull() & F.col("at").isNotNull()).select(*ADDRESS)
     session_keys = sessions.select(F.col("_probe").alias("probe"), F.col("_ip").alias("ip"))
     heaviest = (
         keys.unionByName(session_keys.filter(F.col("probe").isNotNull()))
-        .groupBy(_address_hash().alias("address"))
+        .groupBy(F.xxhash64(*ADDRESS).alias("address"))
         .agg(F.count("*").alias("rows"))
         .filter(F.col("rows") > hot_rows)
         .orderBy(F.desc("rows"), "address")
@@ -164,7 +162,7 @@ def _sliced_time_line(
     arrivals: DataFrame, starts: DataFrame, hot: list[int], hot_rows: int, width: int
 ) -> DataFrame:
     """Arrivals, sessions and seeds with their slice and salt; a cold address has a NULL slice."""
-    is_hot = _address_hash().isin(hot)
+    is_hot = F.expr(f"xxhash64({', '.join(ADDRESS)}) in ({', '.join(f'{h}L' for h in hot)})")
     slice_of = F.expr(f"unix_micros(at) div {width}L")
     sliced_arrivals = arrivals.withColumn("slice", F.when(is_hot, slice_of))
     sliced_starts = starts.withColumn("slice", F.when(is_hot, slice_of))

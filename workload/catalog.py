@@ -13,7 +13,7 @@ from ringtrail.operators.parse import parse_cdr
 from ringtrail.operators.sessions import newest_session, pick_latest
 from ringtrail.operators.subscribers import identified, join_subscribers, unidentified
 from ringtrail.plans import compact, enrich
-from ringtrail.plans.batch import enrich_feed, records_of
+from ringtrail.plans.batch import enrich_feed, records_of, staged
 from ringtrail.schema import (
     ENRICHED_SCHEMA,
     IMSI_DICTIONARY,
@@ -51,6 +51,11 @@ def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records_of(feed.cdr_raw(spark, sf_dir))
 
 
+def cdr_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed records as a table, for plans that read them more than once."""
+    return staged(cdr(spark, sf_dir), "records")
+
+
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imsi_dictionary(feed.imsi_msisdn(spark, sf_dir))
 
@@ -92,7 +97,7 @@ def enrich_by_imsi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = explode_addresses(unidentified(cdr(spark, sf_dir)), "ip")
+    records = explode_addresses(unidentified(cdr_table(spark, sf_dir)), "ip")
     return newest_session(records, sessions(spark, sf_dir))
 
 
@@ -105,14 +110,14 @@ def pick_latest_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_by_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(enrich.enrich_by_ip(cdr(spark, sf_dir), sessions(spark, sf_dir)))
+    return plain(enrich.enrich_by_ip(cdr_table(spark, sf_dir), sessions(spark, sf_dir)))
 
 
 def enrich_by_ip_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way hot addresses go, taken by every address with more than one row."""
     return plain(
         enrich.enrich_by_ip(
-            cdr(spark, sf_dir), sessions(spark, sf_dir), hot_rows=1, slice_seconds=3600
+            cdr_table(spark, sf_dir), sessions(spark, sf_dir), hot_rows=1, slice_seconds=3600
         )
     )
 
