@@ -1,6 +1,11 @@
 from ringtrail.operators.addresses import explode_addresses
 from ringtrail.operators.parse import add_event_time, add_partition_columns, parse_cdr
-from ringtrail.operators.sessions import distinct_sessions, newest_session, pick_latest
+from ringtrail.operators.sessions import (
+    distinct_sessions,
+    newest_session,
+    pick_latest,
+    sessions_for,
+)
 from ringtrail.operators.subscribers import identified, join_subscribers, unidentified
 
 __all__ = [
@@ -13,5 +18,6 @@ __all__ = [
     "newest_session",
     "parse_cdr",
     "pick_latest",
+    "sessions_for",
     "unidentified",
 ]

@@ -28,16 +28,14 @@ def records_of(
     return add_partition_columns(records)
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """The same rows, written to the shared work folder once and read from there.
+def staged(df: DataFrame, place: str) -> DataFrame:
+    """The same rows, written to `place` once and read from there.
 
     It cuts the lineage, so a lost executor costs a file read, and it lets filters and column
     choices of several readers reach Parquet instead of repeating the work above.
     """
-    spark = df.sparkSession
-    place = storage.work_folder(spark, purpose)
     df.write.mode("overwrite").parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
 def enrich_feed(
@@ -48,16 +46,19 @@ def enrich_feed(
     epoch_unit: str | None = None,
     hot_rows: int | None = HOT_ROWS,
     slice_seconds: int = SLICE_SECONDS,
+    work: str | None = None,
 ) -> DataFrame:
     """Enriched records of a batch of payloads.
 
     The payloads are read and split once, and the session dictionary is read once, so the counting
-    job and the join see the same sessions. Remove the work folder when the result is written.
+    job and the join see the same sessions. Both are staged in `work`, a folder that all executors
+    share and that may be removed once the result is written; by default it is a new one.
     """
+    work = work or storage.work_folder(feed.sparkSession, "enrich")
     return enrich(
-        staged(records_of(feed, fields, epoch_unit), "records"),
+        staged(records_of(feed, fields, epoch_unit), f"{work}/records"),
         subscribers,
-        staged(sessions, "sessions"),
+        staged(sessions, f"{work}/sessions"),
         hot_rows,
         slice_seconds,
     )

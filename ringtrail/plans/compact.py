@@ -210,6 +210,7 @@ def _rewritten(
     large = plan.filter(F.col("n_out") >= merge_from).toLocalIterator()
     for directories in batched(large, DIRECTORIES_PER_JOB):
         yield merge_directories(rows, directories)
+    storage.remove(spark, where)
 
 
 def _write(rows: DataFrame, path: str, mode: str, format: str) -> None:

@@ -8,7 +8,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ringtrail.operators.sessions import HOT_ROWS, SLICE_SECONDS
+from ringtrail.operators.addresses import explode_addresses
+from ringtrail.operators.sessions import HOT_ROWS, SLICE_SECONDS, sessions_for
+from ringtrail.operators.subscribers import unidentified
 from ringtrail.plans.batch import records_of
 from ringtrail.plans.enrich import enrich
 from ringtrail.schema import CDR_FIELDS
@@ -45,7 +47,8 @@ def start_enrichment(
         try:
             result = batch
             if not batch.isEmpty():
-                result = enrich(batch, known, seen, hot_rows, slice_seconds)
+                relevant = sessions_for(explode_addresses(unidentified(batch), "ip"), seen)
+                result = enrich(batch, known, relevant, hot_rows, slice_seconds)
             write_batch(result, landing, batch_id, format)
         finally:
             batch.unpersist()

@@ -18,8 +18,8 @@ def test_top_row_is_taken_before_the_shuffle(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text and "BatchEvalPython" not in text
 
 
-def test_filters_and_columns_reach_staged_records(spark):
-    records = staged(catalog.cdr(spark, SF_DIR), "records")
+def test_filters_and_columns_reach_staged_records(spark, tmp_path):
+    records = staged(catalog.cdr(spark, SF_DIR), str(tmp_path / "records"))
     text = plan(records.filter("imsi is not null").select("imsi", "msisdn"))
     assert "PushedFilters: [IsNotNull(imsi)]" in text
     assert "ReadSchema: struct<imsi:bigint,msisdn:bigint>" in text

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from tests.conftest import SF_DIR, rows
 
@@ -66,6 +67,35 @@ def test_listing_counts_only_table_directories(spark, tmp_path):
     assert sizes["d", "01"].bytes == on_disk and sizes["d", "01"].files == 1
 
 
+def test_only_wanted_directories_are_read(spark, tmp_path):
+    place = str(tmp_path / "t")
+    write_partitioned(enriched(spark, (1, "d", "01"), (2, "e", "01"), (3, "e", "02")), place)
+    one = read_table(spark, place, ENRICHED_SCHEMA).filter("event_date = 'e' and probe = '01'")
+    assert keys(one) == [(2, "e", "01")]
+    assert "PartitionFilters: [isnotnull(event_date" in one._jdf.queryExecution().executedPlan().toString()
+    landing = str(tmp_path / "landing")
+    write_batch(enriched(spark, (1, "d", "01")), landing, 0)
+    text = read_table(spark, landing, ENRICHED_SCHEMA, up_to_batch=0).filter("probe = '01'")
+    assert "PartitionFilters: [isnotnull(batch_id" in text._jdf.queryExecution().executedPlan().toString()
+
+
+def test_work_folder_is_the_shared_one():
+    from types import SimpleNamespace
+
+    from ringtrail import storage
+
+    def session(master, **conf):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: conf.get(key.replace(".", "_"), default)),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    shared = session("spark://host", spark_checkpoint_dir="hdfs://shared/")
+    assert storage.work_folder(shared, "x").startswith("hdfs://shared/ringtrail-x-")
+    with pytest.raises(ValueError):
+        storage.work_folder(session("spark://host"), "x")
+
+
 def test_listing_of_nothing(spark, tmp_path):
     assert table_files(spark, str(tmp_path / "none")).isEmpty()
 

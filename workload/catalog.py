@@ -34,7 +34,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Small targets, so that the plan and the rewrite have more than one file per directory to make.
 PLAN_TARGET_BYTES = 100_000
 REPACK_TARGET_BYTES = 8_192
-MERGE_FROM = 4
+MERGE_FROM = 2
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -53,7 +53,7 @@ def cdr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdr_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parsed records as a table, for plans that read them more than once."""
-    return staged(cdr(spark, sf_dir), "records")
+    return staged(cdr(spark, sf_dir), storage.work_folder(spark, "records"))
 
 
 def subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +238,6 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         [f"{work}/landing"],
         f"{work}/compacted",
         REPACK_TARGET_BYTES,
-        MERGE_FROM,
         up_to_batch=last,
     )
     return plain(read_table(spark, f"{work}/compacted", ENRICHED_SCHEMA))
