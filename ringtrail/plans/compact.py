@@ -25,7 +25,7 @@ from ringtrail.sources.tables import directory_sizes, read_table, table_files
 
 # Reduce tasks of one rewrite, and large directories merged by one job.
 MAX_TASKS = 10_000
-DIRECTORIES_PER_JOB = 32
+DIRECTORIES_PER_JOB = 128
 # Staged moves; readers skip names that start with an underscore.
 STAGING = "_moving"
 

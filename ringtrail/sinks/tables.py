@@ -44,7 +44,7 @@ def write_batch(
     """
     rows = df.hint("rebalance", *PARTITION_COLUMNS) if rebalance else df
     (
-        rows.write.mode("overwrite")
+        without_success_marker(rows.write.mode("overwrite"))
         .option("partitionOverwriteMode", "static")
         .format(format)
         .partitionBy(*PARTITION_COLUMNS)

@@ -46,7 +46,8 @@ def remove(spark: SparkSession, location: str) -> None:
 
 
 def remove_files(spark: SparkSession, locations: Iterable[str]) -> None:
-    """Delete files named by encoded URIs (as in `_metadata.file_path`), and folders left empty."""
+    """Delete files named by encoded URIs (as in `_metadata.file_path`), and the partition folders
+    (`name=value`) that are empty then."""
     jvm = spark.sparkContext._jvm
     folders = set()
     for location in locations:
@@ -54,8 +55,11 @@ def remove_files(spark: SparkSession, locations: Iterable[str]) -> None:
         _file_system(spark, path).delete(path, False)
         folders.add(path.getParent().toString())
     for folder in folders:
-        if not children(spark, folder):
+        while "=" in folder.rpartition("/")[2] and exists(spark, folder):
+            if children(spark, folder):
+                break
             remove(spark, folder)
+            folder = folder.rpartition("/")[0]
 
 
 def move_files(spark: SparkSession, source: str, target: str) -> None:

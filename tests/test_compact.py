@@ -150,6 +150,7 @@ def test_landing_takes_committed_batches(spark, tmp_path):
     assert len(data_files(target)) == 1
     compact.compact_move(spark, [landing], str(tmp_path / "moved"), up_to_batch=1)
     assert keys(read_table(spark, landing, ENRICHED_SCHEMA, up_to_batch=9)) == [(2, "d", "01")]
+    assert os.listdir(landing) == ["batch_id=2"]
 
 
 @pytest.mark.parametrize("target", ["root/compacted", "root", "."])
