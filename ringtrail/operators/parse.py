@@ -16,7 +16,9 @@ def parse_cdr(feed: DataFrame, fields: Sequence[tuple[str, str]] = CDR_FIELDS) -
 
     Quotes have no meaning, missing fields are NULL, and fields past the last are ignored.
     """
-    parts = F.split(F.col("value").cast("string"), ",")
+    # A one-element explode is a place of its own in the plan. A plain column would be copied into
+    # every filter on the fields, and the payload would be split again for each mention.
+    parts = F.explode(F.array(F.split(F.col("value").cast("string"), ",")))
     return feed.select(parts.alias("parts")).select(
         *[
             parse_as(F.get("parts", F.lit(position)), kind).alias(name)

@@ -18,6 +18,11 @@ def test_top_row_is_taken_before_the_shuffle(spark):
     assert "Cartesian" not in text and "NestedLoop" not in text and "BatchEvalPython" not in text
 
 
+def test_payload_is_split_once(spark):
+    text = plan(enrich_by_imsi(catalog.cdr(spark, SF_DIR), catalog.subscribers(spark, SF_DIR)))
+    assert text.count("split(") == 1
+
+
 def test_filters_and_columns_reach_staged_records(spark, tmp_path):
     records = staged(catalog.cdr(spark, SF_DIR), str(tmp_path / "records"))
     text = plan(records.filter("imsi is not null").select("imsi", "msisdn"))
