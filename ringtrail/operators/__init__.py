@@ -1,11 +1,7 @@
 from ringtrail.operators.addresses import explode_addresses
 from ringtrail.operators.parse import add_event_time, add_partition_columns, parse_cdr
-from ringtrail.operators.sessions import (
-    distinct_sessions,
-    newest_session,
-    pick_latest,
-    sessions_for,
-)
+from ringtrail.operators.pruning import only_wanted
+from ringtrail.operators.sessions import distinct_sessions, newest_session, pick_latest
 from ringtrail.operators.subscribers import identified, join_subscribers, unidentified
 
 __all__ = [
@@ -16,8 +12,8 @@ __all__ = [
     "identified",
     "join_subscribers",
     "newest_session",
+    "only_wanted",
     "parse_cdr",
     "pick_latest",
-    "sessions_for",
     "unidentified",
 ]

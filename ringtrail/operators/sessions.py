@@ -24,8 +24,6 @@ SLICE_SECONDS = 600
 # Size bound of what is collected and broadcast below: the heaviest addresses and slices. Any past
 # it are lighter than a ten-thousandth of all rows and stay whole.
 MAX_HOT = 10_000
-# Addresses of a micro-batch up to which their hashes are broadcast, 8 bytes each.
-MAX_WANTED = 500_000
 
 
 def _preference() -> Column:
@@ -102,24 +100,6 @@ def newest_session(
     )
 
 
-def sessions_for(
-    records: DataFrame, sessions: DataFrame, most: int = MAX_WANTED
-) -> DataFrame:
-    """Leave out sessions of addresses that `records` does not have, if it has at most `most`.
-
-    A micro-batch touches few of the addresses in the dictionary. Without this the whole dictionary
-    would be shuffled for each one. The addresses are counted before their hashes are broadcast.
-    """
-    wanted = records.select(F.xxhash64(*ADDRESS).alias("address")).distinct()
-    if wanted.limit(most + 1).count() > most:
-        return sessions
-    return (
-        sessions.withColumn("address", F.xxhash64("_probe", "_ip"))
-        .join(F.broadcast(wanted), "address", "left_semi")
-        .drop("address")
-    )
-
-
 def pick_latest(matched: DataFrame) -> DataFrame:
     """One row per `unique_cdr_id`: the one with the newest session, unmatched rows last.
 

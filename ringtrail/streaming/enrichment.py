@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ringtrail.operators.addresses import explode_addresses
-from ringtrail.operators.sessions import HOT_ROWS, SLICE_SECONDS, sessions_for
-from ringtrail.operators.subscribers import unidentified
+from ringtrail.operators.pruning import only_wanted
+from ringtrail.operators.sessions import HOT_ROWS, SLICE_SECONDS
+from ringtrail.operators.subscribers import identified, unidentified
 from ringtrail.plans.batch import records_of
 from ringtrail.plans.enrich import enrich
 from ringtrail.schema import CDR_FIELDS
@@ -47,8 +48,10 @@ def start_enrichment(
         try:
             result = batch
             if not batch.isEmpty():
-                relevant = sessions_for(explode_addresses(unidentified(batch), "ip"), seen)
-                result = enrich(batch, known, relevant, hot_rows, slice_seconds)
+                known = only_wanted(known, ["_imsi"], identified(batch), ["imsi"])
+                per_address = explode_addresses(unidentified(batch), "ip")
+                seen = only_wanted(seen, ["_probe", "_ip"], per_address, ["probe", "ip"])
+                result = enrich(batch, known, seen, hot_rows, slice_seconds)
             write_batch(result, landing, batch_id, format)
         finally:
             batch.unpersist()

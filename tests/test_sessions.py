@@ -10,7 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ringtrail.operators import sessions as ops
-from ringtrail.operators.sessions import distinct_sessions, newest_session, pick_latest, sessions_for
+from ringtrail.operators.pruning import only_wanted
+from ringtrail.operators.sessions import distinct_sessions, newest_session, pick_latest
 from ringtrail.plans.enrich import enrich_by_ip
 
 START = dt.datetime(2024, 1, 1)
@@ -185,12 +186,13 @@ def test_hot_address_is_split(spark, spread):
     assert got.exceptAll(whole).isEmpty() and whole.exceptAll(got).isEmpty()
 
 
-def test_sessions_of_other_addresses_are_left_out(spark):
+def test_entries_that_no_record_wants_are_left_out(spark):
     cdr = records(spark, [(5, None, "a", 1, "P"), (5, None, "b", 2, None)]).withColumn("ip", F.col("ms_ip_address"))
     sessions = starts(spark, [("P", 1, 1, 1, "a"), ("P", 2, 2, 2, "b"), ("Q", 3, 3, 3, "a")])
-    assert [r._imsi for r in sessions_for(cdr, sessions).collect()] == [1]
-    assert sessions_for(cdr, sessions, most=1).count() == 3
-    assert rows(newest_session(cdr, sessions_for(cdr, sessions))) == rows(newest_session(cdr, sessions))
+    keys = ["_probe", "_ip"], cdr, ["probe", "ip"]
+    assert [r._imsi for r in only_wanted(sessions, *keys).collect()] == [1]
+    assert only_wanted(sessions, *keys, most=1).count() == 3
+    assert rows(newest_session(cdr, only_wanted(sessions, *keys))) == rows(newest_session(cdr, sessions))
 
 
 def test_records_that_cannot_match_are_spread(spark):
