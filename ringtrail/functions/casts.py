@@ -1,4 +1,4 @@
-"""Text to typed values where unreadable text is NULL, whether or not the session is in ANSI mode."""
+"""Text to typed values; unreadable text is NULL whether or not the session is in ANSI mode."""
 
 from __future__ import annotations
 

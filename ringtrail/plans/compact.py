@@ -66,13 +66,12 @@ def repack(rows: DataFrame, plan: DataFrame, tasks: int) -> DataFrame:
 
 def merge_directories(rows: DataFrame, plan: Sequence[Row]) -> DataFrame:
     """Read each directory in `n_out` tasks without a shuffle; a task belongs to one directory."""
-    merged = [
-        rows.filter(
-            reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(entry[k])) for k in PARTITION_COLUMNS])
-        ).coalesce(entry["n_out"])
-        for entry in plan
-    ]
-    return reduce(DataFrame.unionByName, merged)
+
+    def merged(entry: Row) -> DataFrame:
+        here = [F.col(name).eqNullSafe(F.lit(entry[name])) for name in PARTITION_COLUMNS]
+        return rows.filter(reduce(Column.__and__, here)).coalesce(entry["n_out"])
+
+    return reduce(DataFrame.unionByName, [merged(entry) for entry in plan])
 
 
 def count_differences(source: DataFrame, written: DataFrame) -> DataFrame:

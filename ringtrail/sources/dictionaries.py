@@ -36,7 +36,8 @@ def read_dictionary(
     For `jdbc` pass `url`, `dbtable`, `user`, `driver`. A large table also needs `partitionColumn`,
     `lowerBound`, `upperBound` and `numPartitions`, or one task reads it whole.
     """
-    return shape_dictionary(spark.read.format(format).options(**(options or {})).load(path), columns)
+    table = spark.read.format(format).options(**(options or {})).load(path)
+    return shape_dictionary(table, columns)
 
 
 def imsi_dictionary(table: DataFrame) -> DataFrame:

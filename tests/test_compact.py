@@ -59,6 +59,22 @@ def test_hot_directory_is_dealt_out_evenly(spark, tmp_path):
     assert len(tasks) == 8 and max(r["count"] for r in tasks) < 2 * 2000 / 8
 
 
+def test_merge_reads_only_its_directories_and_does_not_shuffle(spark, tmp_path):
+    source = str(tmp_path / "source")
+    write_partitioned(scattered(spark), source, rebalance=False)
+    table = read_table(spark, source)
+    plan = spark.createDataFrame(
+        [("2024-01-01", "01", 3), ("2024-02-01", None, 2)], "event_date string, probe string, n_out int"
+    ).collect()
+    merged = compact.merge_directories(table, plan)
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and text.count("Coalesce") == 2
+    assert text.count("PartitionFilters: [(event_date") == 2
+    assert merged.rdd.getNumPartitions() == 5
+    want = table.filter("event_date = '2024-01-01' or (event_date = '2024-02-01' and probe is null)")
+    assert same(merged, want)
+
+
 def test_copy_may_run_again(spark, tmp_path):
     source, target = str(tmp_path / "source"), str(tmp_path / "target")
     write_partitioned(scattered(spark), source, rebalance=False)
