@@ -36,6 +36,7 @@ class Snapshot:
         self._spark = spark
         self._load = load
         self._ttl = ttl_seconds
+        self._own_folder = folder is None
         self._folder = folder or storage.work_folder(spark, "dictionary")
         self._eager = eager
         self._clock = clock
@@ -57,10 +58,16 @@ class Snapshot:
         frame.persist(StorageLevel.MEMORY_AND_DISK)
         if self._eager:
             frame.count()
-        self.close()
+        self._drop()
         self._taken, self._place, self._frame = taken, place, frame
 
     def close(self) -> None:
+        """Drop the last state; the next `current` would read the dictionary again."""
+        self._drop()
+        if self._own_folder:
+            storage.remove(self._spark, self._folder)
+
+    def _drop(self) -> None:
         if self._frame is not None:
             self._frame.unpersist()
             storage.remove(self._spark, self._place)

@@ -128,6 +128,24 @@ def test_snapshot_refreshes_when_due(spark, tmp_path):
     assert os.listdir(folder) == []
 
 
+def test_session_has_the_settings(spark):
+    from ringtrail.session import SETTINGS, open_session
+
+    session = open_session("again")
+    assert {key: session.conf.get(key) for key in SETTINGS} == SETTINGS
+
+
+def test_closed_snapshot_leaves_nothing(spark):
+    snapshot = Snapshot(spark, lambda: spark.range(3))
+    assert snapshot.current().count() == 3
+    place = snapshot._folder
+    assert os.path.exists(place)
+    snapshot.close()
+    assert not os.path.exists(place)
+    assert snapshot.current().count() == 3
+    snapshot.close()
+
+
 def test_snapshot_survives_a_lost_cache(spark, tmp_path):
     """What was cached is read again from the written state, not from the changed source."""
     value = [1]
