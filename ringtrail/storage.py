@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -12,14 +11,17 @@ from pyspark.sql import SparkSession
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor reaches, below `spark.checkpoint.dir`.
 
-    Only a local session may go without that setting; it gets a temporary folder.
+    Without that setting it lies below the warehouse, which executors share as well, and goes when
+    the driver's JVM ends.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    name = f"ringtrail-{purpose}-{uuid.uuid4().hex}"
     if shared:
-        return f"{shared.rstrip('/')}/ringtrail-{purpose}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"ringtrail-{purpose}-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        return f"{shared.rstrip('/')}/{name}"
+    location = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work/{name}"
+    path = _path(spark, location)
+    _file_system(spark, path).deleteOnExit(path)
+    return location
 
 
 def _path(spark: SparkSession, location: str):
