@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringtrail.llm import byte_bpe, language, quality, toxicity
+from ringtrail.llm import byte_bpe, exact_dedup, language, quality, toxicity, url_filter
 from ringtrail.llm.rows import remainder
 
 
@@ -33,6 +33,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.resolve(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     return toxicity.fit(docs, labels, ~_held("3", 1))
 
@@ -80,11 +85,101 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+RULES = [
+    url_filter.Rule("allow", "org/"),
+    url_filter.Rule("block", "example.org/es/"),
+    url_filter.Rule("block", "example.org/en/1"),
+    url_filter.Rule("allow", "com/fr/"),
+    url_filter.Rule("block", "com/de/"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_exact_dedup": op2_exact_dedup,
     "op4_toxicity": op4_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_language": op8_language,
+    "op9_url_filter": op9_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+_OP2 = r"""
+with d as (
+  select doc_id, length(coalesce(text, '')) as n,
+    sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256
+  from documents),
+k as (
+  select *, row_number() over (partition by text_sha256 order by n desc, doc_id nulls last) as place,
+    first_value(doc_id) over (partition by text_sha256 order by n desc, doc_id nulls last) as keep_id,
+    count(*) over (partition by text_sha256) as group_size
+  from d)
+select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from k
+"""
+
+
+def _op9() -> str:
+    """The rounds are written out one after the other."""
+    decided, rule = "null", "null"
+    for r in sorted(reversed(RULES), key=lambda r: len(r.rule)):
+        own, slash, rest = r.rule.partition("/")
+        fits = f"(host = '{own}' or ends_with(host, '.{own}')) and starts_with(path, '{slash}{rest}')"
+        decided = f"case when {fits} then '{r.verdict}' else {decided} end"
+        rule = f"case when {fits} then '{r.rule}' else {rule} end"
+    host = "translate(regexp_extract({}, '^[^/?#]*'), '" + url_filter.UPPER + "', '" + url_filter.LOWER + "')"
+    rounds = "".join(
+        f"""s{i} as materialized (
+  select kind, src, sum(score) as score from (
+    select * from s0 union all
+    select w.kind, w.dst, s.score * w.part from s{i - 1} s join ways w on w.kind = s.kind and w.src = s.src)
+  group by all),
+"""
+        for i in range(1, 13)
+    )
+    return rf"""
+with r as (
+  select page_id, html,
+    case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
+  from pages),
+h as (
+  select page_id, html, {host.format("rest")} as host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path
+  from r),
+p as materialized (select *, {rule} as rule, {decided} as decided from h),
+l as (
+  select host as src, unnest(regexp_extract_all(html,
+    '(?i)<a\s[^>]*?href\s*=\s*["\x27]([^"\x27#]*)', 1)) as link
+  from p),
+e as (
+  select src, {host.format("substr(link, instr(link, '//') + 2)")} as dst from l
+  where starts_with(link, '//') or instr(link, '://') > 0),
+n as (select src, dst, count(*) as n from e where src <> '' and dst <> '' and src <> dst group by all),
+b as (
+  select 'trust' as kind, src, dst, n from n union all
+  select 'distrust', dst, src, n from n),
+ways as materialized (
+  select kind, src, dst, 0.85::double * n / sum(n) over (partition by kind, src) as part from b),
+g as (
+  select host as src, avg(case when decided = 'allow' then 1.0::double else 0 end) as trust,
+    avg(case when decided = 'block' then 1.0::double else 0 end) as distrust
+  from p where host <> '' group by host),
+s0 as materialized (
+  select 'trust' as kind, src, trust as score from g where trust > 0 union all
+  select 'distrust', src, distrust from g where distrust > 0),
+{rounds}
+f as (
+  select src as host, round(sum(case when kind = 'trust' then score else 0 end), 9) as trust,
+    round(sum(case when kind = 'distrust' then score else 0 end), 9) as distrust
+  from s12 group by src)
+select page_id, p.host, path, rule,
+  coalesce(decided, case when coalesce(distrust, 0) >= 0.05 and distrust > trust then 'block'
+    else 'allow' end) as verdict,
+  coalesce(trust, 0.0::double) as trust, coalesce(distrust, 0.0::double) as distrust
+from p left join f on f.host = p.host
+"""
+
+
+ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2, "op9_url_filter": _op9()}
