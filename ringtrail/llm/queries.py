@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringtrail.llm import byte_bpe, exact_dedup, language, quality, toxicity, url_filter
+from ringtrail.llm import byte_bpe, exact_dedup, language, quality, simhash, toxicity, url_filter
 from ringtrail.llm.rows import remainder
 
 
@@ -55,6 +55,15 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, budget=3)
+    return found.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.col("first.doc_id").alias("component_id"),
+    )
+
+
 def vocabulary() -> tuple[bytes, str]:
     """Rank file and split pattern of the public tokenizer."""
     import public_tokenizers
@@ -102,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_simhash": op5_simhash,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_language": op8_language,
     "op9_url_filter": op9_url_filter,
