@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringtrail.llm import byte_bpe, exact_dedup, language, quality, simhash, toxicity, url_filter
+from ringtrail.llm import (
+    byte_bpe,
+    exact_dedup,
+    language,
+    quality,
+    simhash,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 from ringtrail.llm.rows import remainder
 
 
@@ -64,6 +73,23 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _removed(begin_to_end: str):
+    return F.coalesce(
+        F.aggregate(begin_to_end, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"]),
+        F.lit(0).cast("long"),
+    )
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), window=13)
+    return found.select(
+        "doc_id",
+        "n_words",
+        _removed("spans").alias("n_removed"),
+        F.coalesce(F.sha2("kept", 256), "words_sha256").alias("kept_sha256"),
+    )
+
+
 def vocabulary() -> tuple[bytes, str]:
     """Rank file and split pattern of the public tokenizer."""
     import public_tokenizers
@@ -112,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_language": op8_language,
     "op9_url_filter": op9_url_filter,
@@ -192,4 +219,26 @@ from p left join f on f.host = p.host
 """
 
 
-ORACLES: dict[str, str] = {"op2_exact_dedup": _OP2, "op9_url_filter": _op9()}
+_OP6 = r"""
+with d as (
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') as words
+  from documents),
+p as (
+  select doc_id, words, unnest(range(len(words) - 12)) as place from d where len(words) >= 13),
+w as (
+  select doc_id, place, md5(array_to_string(words[place + 1:place + 13], ' ')) as hash from p),
+f as (select hash, min(doc_id) as first from w group by hash having min(doc_id) < max(doc_id)),
+c as (
+  select distinct doc_id, unnest(range(place, place + 13)) as i
+  from w join f using (hash) where doc_id > first),
+g as (select doc_id, list(i) as gone from c group by doc_id),
+k as (
+  select doc_id, len(words) as n_words, coalesce(len(gone), 0) as n_removed,
+    case when gone is null then words else list_filter(words, lambda w, i: not list_contains(gone, i - 1)) end
+      as kept
+  from d left join g using (doc_id))
+select doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) as kept_sha256 from k
+"""
+
+ORACLES: dict[str, str] = {"op6_substring_dedup": _OP6, "op2_exact_dedup": _OP2, "op9_url_filter": _op9()}
