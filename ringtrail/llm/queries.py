@@ -14,6 +14,7 @@ from ringtrail.llm import (
     quality,
     simhash,
     substring_dedup,
+    suffix_array,
     toxicity,
     url_filter,
 )
@@ -90,6 +91,17 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_array.remove_repeats(table(spark, sf_dir, "documents"), window=100)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        _removed("spans").alias("n_removed"),
+        F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce(F.sha2("kept", 256), "text_sha256").alias("kept_sha256"),
+    )
+
+
 def vocabulary() -> tuple[bytes, str]:
     """Rank file and split pattern of the public tokenizer."""
     import public_tokenizers
@@ -141,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_substring_dedup": op6_substring_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_language": op8_language,
+    "op10_suffix_array": op10_suffix_array,
     "op9_url_filter": op9_url_filter,
 }
 
@@ -241,4 +254,33 @@ k as (
 select doc_id, n_words, n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) as kept_sha256 from k
 """
 
-ORACLES: dict[str, str] = {"op6_substring_dedup": _OP6, "op2_exact_dedup": _OP2, "op9_url_filter": _op9()}
+_OP10 = r"""
+with d as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents),
+w as (
+  select doc_id, place, md5(substr(h, 2 * place + 1, 200)) as hash
+  from (select doc_id, h, unnest(range(n - 99)) as place from d where n >= 100)),
+f as (
+  select doc_id, place, (doc_id, place) as here, min((doc_id, place)) over (partition by hash) as first
+  from w),
+s as (
+  select doc_id, place, place - lag(place) over (partition by doc_id order by place) as step
+  from f where here <> first),
+g as (
+  select doc_id, place, sum(case when step <= 100 then 0 else 1 end)
+    over (partition by doc_id order by place) as run
+  from s),
+r as (
+  select doc_id, min(place) as b, max(place) + 100 as e,
+    lag(max(place) + 100, 1, 0) over (partition by doc_id order by min(place)) as before
+  from g group by doc_id, run),
+k as (
+  select doc_id, sum(e - b) as n_removed, count(*) as n_spans, max(e) as past,
+    string_agg(substr(h, 2 * before + 1, 2 * (b - before)), '' order by b) as head, any_value(h) as h
+  from r join d using (doc_id) group by doc_id)
+select doc_id, d.n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+  sha256(unhex(case when k.h is null then d.h else head || substr(k.h, 2 * past + 1) end)) as kept_sha256
+from d left join k using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op10_suffix_array": _OP10, "op6_substring_dedup": _OP6, "op2_exact_dedup": _OP2, "op9_url_filter": _op9()}
