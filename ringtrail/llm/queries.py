@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ringtrail.llm import (
     byte_bpe,
+    decontaminate,
     exact_dedup,
     language,
     quality,
@@ -48,6 +49,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = decontaminate.indexes(table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), items)
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.Model:
     return toxicity.fit(docs, labels, ~_held("3", 1))
 
@@ -148,6 +154,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_simhash": op5_simhash,
     "op6_substring_dedup": op6_substring_dedup,
