@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringtrail.llm.anchors import batches
-from ringtrail.llm.rows import order_of, staged
+from ringtrail.llm.anchors import Batch, batches
+from ringtrail.llm.rows import order_of, release, staged
 
 Units = Callable[[bytes], np.ndarray]
 
@@ -54,8 +54,7 @@ def anchor_table(texts: DataFrame, units: Units, window: int, gram: int) -> Data
             for row, body in zip(batch.column(0).to_pylist(), batch.column(1))
         )
         for batch in batches(docs, window, gram):
-            at = batch.anchor
-            at = np.unique(at)
+            at = np.unique(batch.anchor)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(batch.hashes[at].view(np.int64)),
@@ -69,6 +68,42 @@ def anchor_table(texts: DataFrame, units: Units, window: int, gram: int) -> Data
     return staged(found, "anchors")
 
 
+def repeated_anchors(anchors: DataFrame, which: DataFrame) -> DataFrame:
+    """row, places (of its anchors whose hashes are in `which`), staged; `anchors` is released."""
+    places = anchors.join(which, "hash").groupBy("row").agg(F.collect_list("place").alias("places"))
+    found = staged(places, "places")
+    release(anchors)
+    return found
+
+
+def runs_of(batch: Batch, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of the chosen windows (indices into `batch.start`) that follow one another
+    and have the same anchor."""
+    start, anchor = batch.start[chosen], batch.anchor[chosen]
+    new = np.append(True, (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1))
+    begin = np.flatnonzero(new)
+    return chosen[begin], chosen[np.append(begin[1:] - 1, len(chosen) - 1)]
+
+
+def chosen_windows(batch: Batch, places: np.ndarray) -> np.ndarray:
+    """Windows (indices into `batch.start`) whose anchors lie at the sorted places."""
+    own = batch.place(batch.anchor)
+    near = np.minimum(np.searchsorted(places, own), len(places) - 1)
+    return np.flatnonzero(places[near] == own)
+
+
+def spans_of(runs, window: int, length: int) -> tuple[list, list]:
+    """Spans that runs of window starts (an Arrow list of place, n) cover, joined where they meet,
+    and the spans between them."""
+    begin = runs.values.field("place").to_numpy().astype(np.int64)
+    end = begin + runs.values.field("n").to_numpy() + (window - 1)
+    by_place = np.argsort(begin, kind="stable")
+    begin, end = begin[by_place], np.maximum.accumulate(end[by_place])
+    fresh = np.flatnonzero(np.append(True, begin[1:] > end[:-1]))
+    begin, end = begin[fresh].tolist(), end[np.append(fresh[1:] - 1, len(end) - 1)].tolist()
+    return list(zip(begin, end)), list(zip([0, *end], [*begin, length]))
+
+
 def applied(described: DataFrame, texts: DataFrame, results: DataFrame, least: int) -> DataFrame:
     """doc_id, size, sha, `copy`, and the columns of `results` (by row of `texts`; NULL where it has
     none), for every row.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +36,22 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     folder = work_folder(spark, f"llm-{purpose}")
     with _dropping_shuffles(spark):
         df.write.option("compression", "zstd").parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    read = spark.read.schema(df.schema).parquet(folder)
+    _folders[read] = folder
+    return read
+
+
+#: Where the tables that `staged` has returned lie, as long as they are in use.
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def release(table: DataFrame) -> None:
+    """Delete a staged table. Whatever was made of it must be staged itself by then."""
+    folder = _folders.pop(table)
+    jvm = table.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    conf = table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    path.getFileSystem(conf).delete(path, True)
 
 
 def numbered(docs: DataFrame, purpose: str) -> DataFrame:

@@ -11,7 +11,6 @@ compared by digest, with partial aggregation.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,9 +18,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ringtrail.llm.anchors import Batch, batches
-from ringtrail.llm.repeats import anchor_table, applied, described, distinct_texts
-from ringtrail.llm.rows import staged
+from ringtrail.llm.anchors import batches
+from ringtrail.llm.repeats import (
+    anchor_table,
+    applied,
+    chosen_windows,
+    described,
+    distinct_texts,
+    repeated_anchors,
+    runs_of,
+    spans_of,
+)
+from ringtrail.llm.rows import release, staged
 
 GRAM = 32
 #: Period of the difference cover; bytes of text in a block.
@@ -133,21 +141,12 @@ def repeats(
     return gone
 
 
-def _runs(batch: Batch, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last of the chosen windows (indices into `batch.start`) that follow one another
-    and have the same anchor."""
-    start, anchor = batch.start[chosen], batch.anchor[chosen]
-    new = np.append(True, (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1))
-    begin = np.flatnonzero(new)
-    return chosen[begin], chosen[np.append(begin[1:] - 1, len(chosen) - 1)]
-
-
-SUFFIXES = "hot boolean, key long, key2 long, order long, row long, place int, n int, body binary"
+SUFFIXES = "key long, order long, row long, place int, n int, body binary"
 
 
 def _suffixes(window: int):
-    """From row, order, body and the repeated anchors' places (and whether they are hot): runs of
-    windows with the same anchor and the bytes they cover, or for hot anchors windows one by one."""
+    """From row, order, body and the places of repeated anchors: runs of windows with the same
+    anchor, its hash, and the bytes they cover."""
 
     def run(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for given in source:
@@ -157,37 +156,25 @@ def _suffixes(window: int):
                 given.column(2),
                 given.column(3),
             ):
-                text = body.as_py()
-                at, hot = places.values.field("place").to_numpy(), places.values.field("hot")
-                hot = hot.to_numpy(zero_copy_only=False)
-                by_place = np.argsort(at)
-                at, hot = at[by_place], hot[by_place]
+                text, at = body.as_py(), np.sort(places.values.to_numpy())
                 for batch in batches([(row, np.frombuffer(text, np.uint8))], window, GRAM):
-                    own = batch.place(batch.anchor)
-                    near = np.minimum(np.searchsorted(at, own), len(at) - 1)
-                    known = at[near] == own
-                    out: list[tuple] = []
-                    if (chosen := np.flatnonzero(known & ~hot[near])).size:
-                        first, last = _runs(batch, chosen)
-                        places_ = batch.place(batch.start[first]).tolist()
-                        sizes = (last - first + 1).tolist()
-                        hashes = batch.hashes[batch.anchor[first]].view(np.int64).tolist()
-                        out += [
-                            (False, h, 0, order, row, p, n, text[p : p + n - 1 + window])
-                            for h, p, n in zip(hashes, places_, sizes)
-                        ]
-                    for p in batch.place(batch.start[np.flatnonzero(known & hot[near])]).tolist():
-                        digest = hashlib.md5(text[p : p + window]).digest()
-                        d1, d2 = np.frombuffer(digest, np.int64).tolist()
-                        out.append((True, d1, d2, order, row, p, 1, None))
-                    if out:
-                        kinds = (
-                            pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(),
-                            pa.int32(), pa.int32(), pa.binary(),
-                        )
-                        columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
-                        names = [f.split()[0] for f in SUFFIXES.split(", ")]
-                        yield pa.RecordBatch.from_arrays(columns, names)
+                    chosen = chosen_windows(batch, at)
+                    if not chosen.size:
+                        continue
+                    first, last = runs_of(batch, chosen)
+                    place, n = batch.place(batch.start[first]), last - first + 1
+                    ends = (place + n + window - 1).tolist()
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(batch.hashes[batch.anchor[first]].view(np.int64)),
+                            pa.array(np.full(len(n), order, np.int64)),
+                            pa.array(np.full(len(n), row, np.int64)),
+                            pa.array(place.astype(np.int32)),
+                            pa.array(n.astype(np.int32)),
+                            pa.array([text[b:e] for b, e in zip(place.tolist(), ends)], pa.binary()),
+                        ],
+                        [f.split()[0] for f in SUFFIXES.split(", ")],
+                    )
 
     return run
 
@@ -196,29 +183,42 @@ def _sorted_blocks(window: int):
     """From key, order, row, place, n, body, by key: windows to go, as row, place, n."""
 
     def settle(part: pa.Table) -> pa.RecordBatch:
-        order, row, place, n = (part.column(i).to_numpy() for i in (1, 2, 3, 4))
+        part = part.combine_chunks()
+        key, order, row, place, n = (part.column(i).to_numpy() for i in range(5))
+        body = part.column(5).combine_chunks().dictionary_encode()
+        content = body.indices.to_numpy()
         # Earlier documents first, then by place.
-        by = np.lexsort((place, row, order))
-        bodies = part.column(5).to_pylist()
-        text = np.frombuffer(b"".join(bodies[i] for i in by), np.uint8)
-        order, row, place, n = order[by], row[by], place[by], n[by]
-        sizes = n + (window - 1)
-        begin = np.cumsum(sizes) - sizes
-        run = np.repeat(np.arange(len(n)), n)
-        ahead = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
-        gone = repeats(text, begin[run] + ahead, order[run], row[run], window)
-        gone = np.flatnonzero(gone)
-        run, at = run[gone], (place[run] + ahead)[gone]
-        new = np.append(True, (run[1:] != run[:-1]) | (at[1:] != at[:-1] + 1)) if len(at) else []
-        first = np.flatnonzero(new)
-        last = np.append(first[1:] - 1, len(at) - 1) if len(at) else first
+        by = np.lexsort((place, row, order, content))
+        new = np.append(True, content[by[1:]] != content[by[:-1]])
+        first = by[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        again = np.append(False, ~new[1:] & (row[by[1:]] == row[by[:-1]]))
+        # Runs that are a copy of an earlier one go as a whole and need no sorting.
+        copy = np.zeros(len(by), bool)
+        copy[by] = (order[first] < order[by]) | again
+        left = np.flatnonzero(~copy)
+        # In a bucket with one run left no two windows are equal: their anchors lie elsewhere.
+        _, group, size = np.unique(key[left], return_inverse=True, return_counts=True)
+        left = left[size[group] > 1]
+        left = left[np.lexsort((place[left], row[left], order[left]))]
+        rows, places, counts = [row[copy]], [place[copy]], [n[copy]]
+        if left.size:
+            bodies = body.dictionary.take(body.indices.take(pa.array(left)))
+            text = np.frombuffer(b"".join(bodies.to_pylist()), np.uint8)
+            many = n[left]
+            sizes = many + (window - 1)
+            begin = np.cumsum(sizes) - sizes
+            run = np.repeat(np.arange(len(many)), many)
+            ahead = np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+            gone = np.flatnonzero(
+                repeats(text, begin[run] + ahead, order[left][run], row[left][run], window)
+            )
+            rows.append(row[left][run[gone]])
+            places.append(place[left][run[gone]] + ahead[gone])
+            counts.append(np.ones(len(gone), np.int64))
+        columns = (np.concatenate(rows), np.concatenate(places), np.concatenate(counts))
+        kinds = (pa.int64(), pa.int32(), pa.int32())
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array(row[run[first]]),
-                pa.array(at[first].astype(np.int32)),
-                pa.array((at[last] - at[first] + 1).astype(np.int32)),
-            ],
-            ["row", "place", "n"],
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["row", "place", "n"]
         )
 
     def run(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,31 +253,41 @@ def _sorted_blocks(window: int):
 def repeated_starts(texts: DataFrame, window: int, hot_rows: int) -> DataFrame:
     """row, place, n: runs of starts of windows that also start earlier."""
     anchors = anchor_table(texts, lambda body: np.frombuffer(body, np.uint8), window, GRAM)
-    often = anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    places = F.struct("place", (F.col("n") > hot_rows).alias("hot"))
-    candidates = (
-        anchors.join(often, "hash").groupBy("row").agg(F.collect_list(places).alias("places"))
-    )
+    often = staged(anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    hot = often.where(F.col("n") > hot_rows).select(F.col("hash").alias("key"))
+    candidates = repeated_anchors(anchors, often.select("hash"))
     source = texts.join(candidates, "row").select("row", "order", "body", "places")
     found = staged(source.mapInArrow(_suffixes(window), SUFFIXES), "suffixes")
-    buckets = found.where("not hot").select("key", "order", "row", "place", "n", "body")
-    by_sort = (
-        buckets.repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(_sorted_blocks(window), "row long, place int, n int")
-    )
-    hot = found.where("hot").select("key", "key2", "order", "row", "place", "n")
-    own = hot.groupBy("key", "key2", "row").agg(
-        F.min("place").alias("own_first"), F.min("order").alias("order")
+    release(candidates)
+    if hot.isEmpty():
+        return _by_sort(found, window)
+    some = _by_sort(found.join(hot, "key", "left_anti"), window)
+    return some.unionByName(_by_digest(found.join(hot, "key", "left_semi"), window))
+
+
+def _by_sort(found: DataFrame, window: int) -> DataFrame:
+    dealt = found.repartition("key").sortWithinPartitions("key")
+    return dealt.mapInArrow(_sorted_blocks(window), "row long, place int, n int")
+
+
+def _by_digest(found: DataFrame, window: int) -> DataFrame:
+    """The same for hot buckets, window by window."""
+    step = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("step")
+    windows = found.select("key", "order", "row", "place", "body", step).select(
+        F.sha2(F.substring("body", F.col("step") + 1, F.lit(window)), 256).alias("digest"),
+        "order",
+        "row",
+        (F.col("place") + F.col("step")).alias("place"),
     )
-    first = hot.groupBy("key", "key2").agg(F.min("order").alias("first"))
-    by_digest = (
-        hot.join(own.drop("order"), ["key", "key2", "row"])
-        .join(first, ["key", "key2"])
+    windows = staged(windows, "windows")
+    own = windows.groupBy("digest", "row").agg(F.min("place").alias("own_first"))
+    first = windows.groupBy("digest").agg(F.min("order").alias("first"))
+    return (
+        windows.join(own, ["digest", "row"])
+        .join(first, "digest")
         .where("order > first or place > own_first")
-        .select("row", "place", "n")
+        .select("row", "place", F.lit(1).alias("n"))
     )
-    return by_sort.unionByName(by_digest)
 
 
 def _cut(window: int):
@@ -289,15 +299,9 @@ def _cut(window: int):
             spans, kept = [], []
             for body, runs in zip(batch.column(1), batch.column(2)):
                 text = body.as_py()
-                begin = runs.values.field("place").to_numpy().astype(np.int64)
-                end = begin + runs.values.field("n").to_numpy() + (window - 1)
-                by_place = np.argsort(begin, kind="stable")
-                begin, end = begin[by_place], np.maximum.accumulate(end[by_place])
-                fresh = np.flatnonzero(np.append(True, begin[1:] > end[:-1]))
-                begin, end = begin[fresh], end[np.append(fresh[1:] - 1, len(end) - 1)]
-                spans.append([{"begin": b, "end": e} for b, e in zip(begin.tolist(), end.tolist())])
-                edges = [0, *np.column_stack([begin, end]).ravel().tolist(), len(text)]
-                kept.append(b"".join(text[b:e] for b, e in zip(edges[::2], edges[1::2])))
+                gone, left = spans_of(runs, window, len(text))
+                spans.append([{"begin": b, "end": e} for b, e in gone])
+                kept.append(b"".join(text[b:e] for b, e in left))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(spans, span), pa.array(kept, pa.binary())],
                 ["row", "spans", "kept"],
@@ -306,7 +310,7 @@ def _cut(window: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 100, hot_rows: int = 10_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 100, hot_rows: int = 50_000) -> DataFrame:
     """doc_id, n_bytes, text_sha256, spans (removed bytes, begin to end), kept for every row.
 
     A byte goes if a string of `window` bytes that covers it also starts in a document with a
