@@ -15,9 +15,18 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringtrail.llm.anchors import batches, gram_hashes
-from ringtrail.llm.repeats import anchor_table, applied, described, distinct_texts
-from ringtrail.llm.rows import staged
+from ringtrail.llm.anchors import batches, gram_hashes, mixed
+from ringtrail.llm.repeats import (
+    anchor_table,
+    applied,
+    chosen_windows,
+    described,
+    distinct_texts,
+    repeated_anchors,
+    runs_of,
+    spans_of,
+)
+from ringtrail.llm.rows import release, staged
 
 
 def words_joined(text: Column) -> Column:
@@ -28,7 +37,8 @@ def words_joined(text: Column) -> Column:
 
 def _n_words() -> Column:
     text = F.col("body").cast("string")
-    return F.when(F.length(text) == 0, 0).otherwise(F.size(F.split(text, " ", -1)))
+    blanks = F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+    return F.when(F.length(text) == 0, 0).otherwise(blanks + 1)
 
 
 def word_hashes(body: bytes) -> np.ndarray:
@@ -40,64 +50,111 @@ def _half(window: int) -> int:
     return (window + 1) // 2
 
 
-def _windows(window: int):
-    """From row, order, body and the places of repeated anchors: all windows with such an anchor."""
+RUNS = "hash long, context long, order long, row long, place int, n int, digests array<long>"
+
+
+def _runs(window: int):
+    """From row, order, body and the places of repeated anchors: the windows with such an anchor, as
+    runs with the same one. Of a run: the hash of its anchor, a digest of all its words, and the
+    digest of each window."""
     gram = _half(window)
 
     def run(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
+        for given in source:
             for row, order, body, places in zip(
-                batch.column(0).to_pylist(),
-                batch.column(1).to_pylist(),
-                batch.column(2),
-                batch.column(3),
+                given.column(0).to_pylist(),
+                given.column(1).to_pylist(),
+                given.column(2),
+                given.column(3),
             ):
-                words = body.as_py().split(b" ")
-                both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), np.uint64)
-                repeated = np.sort(places.values.to_numpy())
+                text = body.as_py()
+                hashes, at = word_hashes(text), np.sort(places.values.to_numpy())
                 # Anchors go by the same hashes as at level one, digests by others.
-                for part in batches([(row, word_hashes(body.as_py()))], window, gram):
-                    at = part.place(part.anchor)
-                    near = np.minimum(np.searchsorted(repeated, at), len(repeated) - 1)
-                    start = part.place(part.start[repeated[near] == at])
-                    if not start.size:
+                other = mixed(hashes ^ np.uint64(0xA5A5A5A55A5A5A5A))
+                for batch in batches([(row, hashes)], window, gram):
+                    chosen = chosen_windows(batch, at)
+                    if not chosen.size:
                         continue
-                    low, high = int(start[0]), int(start[-1]) + window
-                    first, second = (gram_hashes(both[k::2][low:high], window) for k in (0, 1))
+                    first, last = runs_of(batch, chosen)
+                    place = batch.place(batch.start[first])
+                    n = last - first + 1
+                    low, high = int(place[0]), int(place[-1] + n[-1]) + window - 1
+                    digests = gram_hashes(other[low:high], window)
+                    begin = place - low
+                    each = np.repeat(begin, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    offsets = np.append(0, np.cumsum(n))
+                    # The first and the last window and their distance stand for all words between:
+                    # two windows less than their length apart cover them all.
+                    context = mixed(digests[begin] * np.uint64(0x9E3779B97F4A7C15) + digests[begin + n - 1]) + n.astype(np.uint64)
+                    size = len(first)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(first[start - low].view(np.int64)),
-                            pa.array(second[start - low].view(np.int64)),
-                            pa.array(np.full(len(start), order, np.int64)),
-                            pa.array(np.full(len(start), row, np.int64)),
-                            pa.array(start.astype(np.int32)),
+                            pa.array(batch.hashes[batch.anchor[first]].view(np.int64)),
+                            pa.array(context.view(np.int64)),
+                            pa.array(np.full(size, order, np.int64)),
+                            pa.array(np.full(size, row, np.int64)),
+                            pa.array(place.astype(np.int32)),
+                            pa.array(n.astype(np.int32)),
+                            pa.ListArray.from_arrays(
+                                pa.array(offsets.astype(np.int32)), pa.array(digests[each].view(np.int64))
+                            ),
                         ],
-                        ["d1", "d2", "order", "row", "place"],
+                        [f.split()[0] for f in RUNS.split(", ")],
                     )
 
     return run
 
 
+def anchored_runs(texts: DataFrame, window: int) -> DataFrame:
+    """Runs (see `RUNS`) of all windows whose anchor two texts have, staged."""
+    anchors = anchor_table(texts, word_hashes, window, _half(window))
+    spread = anchors.groupBy("hash").agg(F.min("row").alias("low"), F.max("row").alias("high"))
+    candidates = repeated_anchors(anchors, spread.where("low < high").select("hash"))
+    source = texts.join(candidates, "row").select("row", "order", "body", "places")
+    found = staged(source.mapInArrow(_runs(window), RUNS), "runs")
+    release(candidates)
+    return found
+
+
+def later_windows(texts: DataFrame, window: int) -> DataFrame:
+    """row, place, n: runs of windows that an earlier document has too.
+
+    Windows are the same if their anchors' hashes and their own digests are, 128 bits in all. A run
+    that is the same as one of an earlier document is done with as a whole; other windows are
+    compared one by one, where an anchor stands in different surroundings.
+    """
+    runs = anchored_runs(texts, window)
+    by_run = runs.groupBy("hash", "context").agg(F.min("order").alias("first"))
+    with_first = staged(runs.join(by_run, ["hash", "context"]), "runs")
+    release(runs)
+    whole = with_first.where("order > first").select("row", "place", "n")
+    rest = with_first.where("order = first")
+    mixed_up = rest.groupBy("hash").agg(F.min("context").alias("low"), F.max("context").alias("high"))
+    windows = rest.join(mixed_up.where("low < high").select("hash"), "hash", "left_semi").select(
+        "hash", "order", "row", "place", F.posexplode("digests").alias("step", "digest")
+    )
+    windows = staged(windows, "windows")
+    by_window = windows.groupBy("hash", "digest").agg(F.min("order").alias("first"))
+    single = windows.join(by_window, ["hash", "digest"]).where("order > first")
+    return whole.unionByName(
+        single.select("row", (F.col("place") + F.col("step")).alias("place"), F.lit(1).alias("n"))
+    )
+
+
 def _repeated(windows: DataFrame) -> DataFrame:
     """d1, d2, first: digests that occur in two documents, and the first of these."""
     found = windows.groupBy("d1", "d2").agg(
-        F.min("order").alias("first"), F.max("order").alias("last"),
+        F.min("order").alias("first"), F.max("order").alias("last")
     )
     return found.where("first < last").drop("last")
 
 
 def repeated_windows(texts: DataFrame, window: int) -> DataFrame:
     """d1, d2, order, row, place, first of all windows of `texts` that two documents have, staged."""
-    anchors = anchor_table(texts, word_hashes, window, _half(window))
-    twice = anchors.groupBy("hash").agg(F.min("row").alias("low"), F.max("row").alias("high"))
-    candidates = (
-        anchors.join(twice.where("low < high").select("hash"), "hash")
-        .groupBy("row")
-        .agg(F.collect_list("place").alias("places"))
+    windows = anchored_runs(texts, window).select(
+        F.col("hash").alias("d1"), "order", "row", "place", F.posexplode("digests").alias("step", "d2")
     )
-    source = texts.join(candidates, "row").select("row", "order", "body", "places")
-    kinds = "d1 long, d2 long, order long, row long, place int"
-    windows = staged(source.mapInArrow(_windows(window), kinds), "windows")
+    windows = windows.select("d1", "d2", "order", "row", (F.col("place") + F.col("step")).alias("place"))
     return staged(windows.join(_repeated(windows), ["d1", "d2"]), "repeated")
 
 
@@ -135,21 +192,17 @@ def longest_passages(texts: DataFrame, window: int) -> DataFrame:
 
 
 def _cut(window: int):
-    """From row, body, places of windows to go: spans of words removed, and what is kept."""
-    span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+    """From row, body, runs of windows to go: spans of words removed, and what is kept."""
+    span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def run(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             spans, kept = [], []
-            for body, places in zip(batch.column(1), batch.column(2)):
-                words, start = body.as_py().split(b" "), np.sort(places.values.to_numpy())
-                fresh = np.flatnonzero(np.append(True, start[1:] > start[:-1] + window))
-                begin, end = start[fresh], start[np.append(fresh[1:] - 1, len(start) - 1)] + window
-                spans.append([{"begin": b, "end": e} for b, e in zip(begin.tolist(), end.tolist())])
-                edges = [0, *np.column_stack([begin, end]).ravel().tolist(), len(words)]
-                kept.append(
-                    b" ".join(w for b, e in zip(edges[::2], edges[1::2]) for w in words[b:e])
-                )
+            for body, runs in zip(batch.column(1), batch.column(2)):
+                words = body.as_py().split(b" ")
+                gone, left = spans_of(runs, window, len(words))
+                spans.append([{"begin": b, "end": e} for b, e in gone])
+                kept.append(b" ".join(w for b, e in left for w in words[b:e]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(spans, span), pa.array(kept, pa.binary())],
                 ["row", "spans", "kept"],
@@ -171,12 +224,12 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     body = words_joined(F.col("text"))
     every = described(docs, body, _n_words())
     texts = distinct_texts(docs, body, _n_words(), window)
-    later = repeated_windows(texts, window).where(F.col("order") > F.col("first"))
-    places = later.groupBy("row").agg(F.collect_list("place").alias("places"))
-    kinds = "row long, spans array<struct<begin: int, end: int>>, kept binary"
-    cut = texts.join(places, "row").select("row", "body", "places").mapInArrow(_cut(window), kinds)
+    later = later_windows(texts, window)
+    runs = later.groupBy("row").agg(F.collect_list(F.struct("place", "n")).alias("runs"))
+    kinds = "row long, spans array<struct<begin: long, end: long>>, kept binary"
+    cut = texts.join(runs, "row").select("row", "body", "runs").mapInArrow(_cut(window), kinds)
     found = applied(every, texts, cut, window)
-    whole = F.array(F.struct(F.lit(0).alias("begin"), F.col("size").cast("int").alias("end")))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("begin"), F.col("size").alias("end")))
     return found.select(
         "doc_id",
         F.col("size").alias("n_words"),
