@@ -1,4 +1,4 @@
-from ringtrail.operators.addresses import explode_addresses
+from ringtrail.operators.addresses import explode_addresses, without_address
 from ringtrail.operators.parse import add_event_time, add_partition_columns, parse_cdr
 from ringtrail.operators.pruning import only_wanted
 from ringtrail.operators.sessions import distinct_sessions, newest_session, pick_latest
@@ -16,4 +16,5 @@ __all__ = [
     "parse_cdr",
     "pick_latest",
     "unidentified",
+    "without_address",
 ]

@@ -7,28 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Distinct keys of a batch up to which their hashes are broadcast, 8 bytes each.
-MAX_WANTED = 500_000
-
 
 def only_wanted(
     dictionary: DataFrame,
     dictionary_key: Sequence[str],
     records: DataFrame,
     record_key: Sequence[str],
-    most: int = MAX_WANTED,
 ) -> DataFrame:
-    """Leave out entries whose key `records` does not have, if it has at most `most` keys.
+    """Leave out entries whose key `records` does not have.
 
-    A micro-batch touches few of the keys in a dictionary. Without this the whole dictionary would
-    be shuffled for each one. The keys are counted before their hashes are broadcast; an entry that
-    stays because its hash is shared does no harm.
+    A micro-batch touches few of the keys in a dictionary; only these entries go through its later
+    joins. Spark broadcasts the keys' hashes while they are small and shuffles both sides when they
+    are not. An entry that stays because its hash is shared does no harm.
     """
     wanted = records.select(F.xxhash64(*record_key).alias("wanted")).distinct()
-    if wanted.limit(most + 1).count() > most:
-        return dictionary
     return (
         dictionary.withColumn("wanted", F.xxhash64(*dictionary_key))
-        .join(F.broadcast(wanted), "wanted", "left_semi")
+        .join(wanted, "wanted", "left_semi")
         .drop("wanted")
     )

@@ -16,14 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ringtrail.storage import work_folder
+
 ADDRESS = ["probe", "ip"]
 SLICE = [*ADDRESS, "slice"]
 
 HOT_ROWS = 1_000_000
 SLICE_SECONDS = 600
-# Size bound of what is collected and broadcast below: the heaviest addresses and slices. Any past
-# it are lighter than a ten-thousandth of all rows and stay whole.
-MAX_HOT = 10_000
 
 
 def _preference() -> Column:
@@ -69,8 +68,8 @@ def newest_session(
         F.col("start_time").alias("at"),
         F.struct(*[F.col(name) for name in payload]).alias("record"),
     )
-    hot = [] if hot_rows is None else _hot_addresses(arrivals, sessions, hot_rows)
-    if hot:
+    hot = None if hot_rows is None else _hot_addresses(arrivals, sessions, hot_rows)
+    if hot is not None and not hot.isEmpty():
         starts = _starts(distinct_sessions(sessions))
         time_line = _sliced_time_line(arrivals, starts, hot, hot_rows, slice_seconds * 1_000_000)
         line = [*SLICE, "salt"]
@@ -121,10 +120,12 @@ def pick_latest(matched: DataFrame) -> DataFrame:
     )
 
 
-def _hot_addresses(arrivals: DataFrame, sessions: DataFrame, hot_rows: int) -> list[int]:
-    """Hashes of the heaviest addresses; counted on the map side first, at most MAX_HOT numbers.
+def _hot_addresses(arrivals: DataFrame, sessions: DataFrame, hot_rows: int) -> DataFrame:
+    """Hashes of all addresses with more than `hot_rows` rows, as a stored table.
 
-    Two addresses that share a hash are treated alike, which is exact either way.
+    Rows are counted on the map side first. Two addresses that share a hash are treated alike,
+    which is exact either way. As a stored table its size is known, so Spark broadcasts it while it
+    is small; nothing of it comes to the driver.
     """
     keys = arrivals.filter(F.col("probe").isNotNull() & F.col("at").isNotNull()).select(*ADDRESS)
     session_keys = sessions.select(F.col("_probe").alias("probe"), F.col("_ip").alias("ip"))
@@ -133,10 +134,11 @@ def _hot_addresses(arrivals: DataFrame, sessions: DataFrame, hot_rows: int) -> l
         .groupBy(F.xxhash64(*ADDRESS).alias("address"))
         .agg(F.count("*").alias("rows"))
         .filter(F.col("rows") > hot_rows)
-        .orderBy(F.desc("rows"), "address")
-        .limit(MAX_HOT)
+        .select("address")
     )
-    return [row["address"] for row in heaviest.collect()]
+    where = work_folder(arrivals.sparkSession, "hot")
+    heaviest.write.parquet(where)
+    return arrivals.sparkSession.read.schema(heaviest.schema).parquet(where)
 
 
 def _spread(shared: Column) -> Column:
@@ -159,31 +161,34 @@ def _starts(sessions: DataFrame) -> DataFrame:
 
 
 def _sliced_time_line(
-    arrivals: DataFrame, starts: DataFrame, hot: list[int], hot_rows: int, width: int
+    arrivals: DataFrame, starts: DataFrame, hot: DataFrame, hot_rows: int, width: int
 ) -> DataFrame:
     """Arrivals, sessions and seeds with their slice and salt; a cold address has a NULL slice."""
-    is_hot = F.expr(f"xxhash64({', '.join(ADDRESS)}) in ({', '.join(f'{h}L' for h in hot)})")
     slice_of = F.expr(f"unix_micros(at) div {width}L")
-    sliced_arrivals = arrivals.withColumn("slice", F.when(is_hot, slice_of))
-    sliced_starts = starts.withColumn("slice", F.when(is_hot, slice_of))
+    known = hot.withColumn("is_hot", F.lit(True))
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        marked = rows.withColumn("address", F.xxhash64(*ADDRESS)).join(known, "address", "left_outer")
+        return marked.withColumn("slice", F.when(F.col("is_hot"), slice_of)).drop("address", "is_hot")
+
+    # The turn is taken where rows are read, where a task that runs again numbers them alike.
+    sliced_arrivals = sliced(arrivals.withColumn("turn", F.monotonically_increasing_id()))
+    sliced_starts = sliced(starts)
 
     records_in_slice = (
         sliced_arrivals.filter(F.col("slice").isNotNull())
         .groupBy(*SLICE)
         .agg(F.count("*").alias("records"))
     )
-    dense = F.broadcast(
-        records_in_slice.filter(F.col("records") > hot_rows)
-        .orderBy(F.desc("records"), *SLICE)
-        .limit(MAX_HOT)
-        .select(*SLICE, F.ceil(F.col("records") / hot_rows).cast("int").alias("salts"))
+    dense = records_in_slice.filter(F.col("records") > hot_rows).select(
+        *SLICE, F.ceil(F.col("records") / hot_rows).cast("int").alias("salts")
     )
     salts = F.coalesce("salts", F.lit(1))
 
-    # Copies of one record differ only in the task that read them, so that decides the salt.
+    # Copies of one record differ only in their place where they were read, so that decides.
     dealt = sliced_arrivals.join(dense, SLICE, "left_outer").select(
         *SLICE,
-        _spread(F.pmod(F.spark_partition_id(), salts)).alias("salt"),
+        _spread(F.pmod("turn", salts)).alias("salt"),
         "at",
         "record",
         F.lit(None).alias("session"),

@@ -10,8 +10,10 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from contextlib import contextmanager
 from itertools import batched
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -23,11 +25,12 @@ from ringtrail.schema import PARTITION_COLUMNS
 from ringtrail.sinks.tables import without_success_marker
 from ringtrail.sources.tables import directory_sizes, read_table, table_files
 
-# Reduce tasks of one rewrite, and large directories merged by one job.
-MAX_TASKS = 10_000
+# Large directories merged by one job.
 DIRECTORIES_PER_JOB = 128
 # Staged moves; readers skip names that start with an underscore.
 STAGING = "_moving"
+# A staged move that has this file is complete; the target's lock names the move that holds it.
+COMPLETE, LOCK = "complete", "_moving_by"
 
 
 def inventory(
@@ -107,7 +110,7 @@ def compact_copy(
     scans = _snapshot(spark, roots, up_to_batch, schema, format)
     if not scans:
         return
-    rows = reduce(DataFrame.unionByName, scans)
+    rows = _together(scans)
     for part in _rewritten(spark, rows, roots, target_bytes, merge_from, up_to_batch):
         _write(part, target, "overwrite", format)
     _require_whole(rows, read_table(spark, target, rows.schema, format=format))
@@ -122,40 +125,115 @@ def compact_move(
     up_to_batch: int | None = None,
     schema: StructType | None = None,
     format: str = "parquet",
+    break_lock: bool = False,
 ) -> None:
     """Add compacted source rows to the target, then delete exactly the files they came from.
 
     Files that arrive meanwhile stay. Rows are staged and counted, and the list of source files is
-    written, before anything is published, so a move can be finished after a crash.
+    written, before anything is published, so a move can be finished after a crash. All columns of
+    all source files are kept; a `schema` that leaves one out is refused.
+
+    One move at a time holds the target; another raises. `break_lock` takes over what a driver that
+    died has left locked.
     """
     _require_apart(roots, target)
-    finish_moves(spark, target)
+    with _held(spark, target, break_lock):
+        _move(spark, roots, target, target_bytes, merge_from, up_to_batch, schema, format)
+
+
+def finish_moves(spark: SparkSession, target: str, break_lock: bool = False) -> None:
+    """Publish staged moves that are complete, and drop the others."""
+    with _held(spark, target, break_lock):
+        _finish(spark, target)
+
+
+@contextmanager
+def _held(spark: SparkSession, target: str, break_lock: bool) -> Iterator[None]:
+    lock = f"{target.rstrip('/')}/{LOCK}"
+    if break_lock and storage.exists(spark, lock):
+        storage.remove(spark, lock)
+    try:
+        storage.create(spark, lock, f"{spark.sparkContext.applicationId} {uuid.uuid4().hex}")
+    except Py4JJavaError as error:
+        if not storage.exists(spark, lock):
+            raise
+        owner = storage.content(spark, lock)
+        raise RuntimeError(f"{target} is being compacted by {owner}") from error
+    try:
+        yield
+    finally:
+        storage.remove(spark, lock)
+        if not storage.children(spark, target):
+            storage.remove(spark, target)
+
+
+def _move(
+    spark: SparkSession,
+    roots: Sequence[str],
+    target: str,
+    target_bytes: int,
+    merge_from: int,
+    up_to_batch: int | None,
+    schema: StructType | None,
+    format: str,
+) -> None:
+    _finish(spark, target)
     scans = _snapshot(spark, roots, up_to_batch, schema, format)
     if not scans:
         return
-    rows = reduce(DataFrame.unionByName, scans)
+    if schema is not None:
+        for root in roots:
+            _require_columns(spark, root, schema, up_to_batch, format)
+    rows = _together(scans)
     move = f"{target.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
     for part in _rewritten(spark, rows, roots, target_bytes, merge_from, up_to_batch):
         _write(part, f"{move}/rows", "append", format)
     _require_whole(rows, read_table(spark, f"{move}/rows", rows.schema, format=format))
+    _require_columns(spark, f"{move}/rows", rows.schema, None, format, exactly=True)
     paths = [scan.select("_metadata.file_path").distinct() for scan in scans]
     reduce(DataFrame.unionByName, paths).write.text(f"{move}/sources")
-    finish_moves(spark, target)
+    storage.create(spark, f"{move}/{COMPLETE}", "")
+    _finish(spark, target)
 
 
-def finish_moves(spark: SparkSession, target: str) -> None:
-    """Publish staged moves whose list of sources is complete, and drop the others."""
+def _finish(spark: SparkSession, target: str) -> None:
     staging = f"{target.rstrip('/')}/{STAGING}"
     if not storage.exists(spark, staging):
         return
     for move in storage.children(spark, staging):
-        if storage.exists(spark, f"{move}/sources/_SUCCESS"):
+        if storage.exists(spark, f"{move}/{COMPLETE}"):
             storage.move_files(spark, f"{move}/rows", target)
             sources = spark.read.text(f"{move}/sources")
             storage.remove_files(spark, (row["value"] for row in sources.toLocalIterator()))
         storage.remove(spark, move)
 
 
+def _together(scans: list[DataFrame]) -> DataFrame:
+    """All rows; a column that one root lacks is NULL there."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+
+
+def _require_columns(
+    spark: SparkSession,
+    root: str,
+    schema: StructType,
+    up_to_batch: int | None,
+    format: str,
+    exactly: bool = False,
+) -> None:
+    """Refuse a schema that lacks a column that the files below `root` have."""
+    try:
+        stored = set(read_table(spark, root, None, up_to_batch, format).columns)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    wanted = set(schema.names) | set(PARTITION_COLUMNS)
+    wrong = (stored - wanted) | ((wanted - stored) if exactly else set())
+    if wrong:
+        raise ValueError(f"columns {sorted(wrong)} of {root} would be lost, source kept")
+
+
 def _require_apart(roots: Sequence[str], target: str) -> None:
     """A target inside a root would be compacted again, and breaks partition discovery."""
     inner = f"{target.rstrip('/')}/"
@@ -205,11 +283,13 @@ def _rewritten(
     small = plan.filter(F.col("n_out") < merge_from)
     wanted = small.agg(F.sum("n_out")).first()[0]
     if wanted:
-        yield repack(rows, small, min(wanted, MAX_TASKS))
+        yield repack(rows, small, wanted)
     large = plan.filter(F.col("n_out") >= merge_from).toLocalIterator()
-    for directories in batched(large, DIRECTORIES_PER_JOB):
-        yield merge_directories(rows, directories)
-    storage.remove(spark, where)
+    try:
+        for directories in batched(large, DIRECTORIES_PER_JOB):
+            yield merge_directories(rows, directories)
+    finally:
+        storage.remove(spark, where)
 
 
 def _write(rows: DataFrame, path: str, mode: str, format: str) -> None:
@@ -218,8 +298,10 @@ def _write(rows: DataFrame, path: str, mode: str, format: str) -> None:
     writer = without_success_marker(rows.write.mode(mode)).option(
         "partitionOverwriteMode", "dynamic"
     )
-    writer.format(format).partitionBy(*PARTITION_COLUMNS).save(path)
-    spark.sparkContext.setJobDescription(None)
+    try:
+        writer.format(format).partitionBy(*PARTITION_COLUMNS).save(path)
+    finally:
+        spark.sparkContext.setJobDescription(None)
 
 
 def _require_whole(rows: DataFrame, written: DataFrame) -> None:

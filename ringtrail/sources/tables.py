@@ -54,12 +54,17 @@ def read_table(
     up_to_batch: int | None = None,
     format: str = "parquet",
 ) -> DataFrame:
-    """Rows of a table, without `batch_id`; the schema is taken from its files if none is given."""
+    """Rows of a table, without `batch_id`.
+
+    Without a schema the columns of all files are taken: directories written at different times may
+    differ, and a column that a file lacks is NULL there.
+    """
     if schema is None:
         levels = DIRECTORIES if up_to_batch is None else f"batch_id=*/{DIRECTORIES}"
         schema = (
             spark.read.format(format)
             .option("basePath", root)
+            .option("mergeSchema", "true")
             .load(f"{root.rstrip('/')}/{levels}")
             .schema
         )

@@ -42,6 +42,24 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return [status.getPath().toString() for status in _file_system(spark, path).listStatus(path)]
 
 
+def create(spark: SparkSession, location: str, content: str) -> None:
+    """A new small file; an error if there is one already, whoever is first."""
+    path = _path(spark, location)
+    out = _file_system(spark, path).create(path, False)
+    out.writeUTF(content)
+    out.close()
+
+
+def content(spark: SparkSession, location: str) -> str:
+    """What `create` has written."""
+    path = _path(spark, location)
+    file = _file_system(spark, path).open(path)
+    try:
+        return file.readUTF()
+    finally:
+        file.close()
+
+
 def remove(spark: SparkSession, location: str) -> None:
     path = _path(spark, location)
     _file_system(spark, path).delete(path, True)

@@ -179,3 +179,56 @@ def test_nothing_to_do(spark, tmp_path):
     compact.compact_copy(spark, [str(tmp_path / "none")], str(tmp_path / "target"))
     compact.compact_move(spark, [str(tmp_path / "none")], str(tmp_path / "target"))
     assert not os.path.exists(str(tmp_path / "target"))
+
+
+def two_schemas(spark, root):
+    write_partitioned(enriched(spark, (1, "2024-01-01", "01")), root)
+    more = enriched(spark, (2, "2024-01-02", "01")).withColumn("extra", F.lit("x"))
+    write_partitioned(more, root)
+
+
+def test_move_keeps_the_columns_of_every_directory(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    two_schemas(spark, source)
+    compact.compact_move(spark, [source], target)
+    got = read_table(spark, target).select("unique_cdr_id", "extra")
+    assert [tuple(r) for r in got.orderBy("event_date").collect()][1][1] == "x"
+    assert not data_files(source)
+
+
+def test_move_refuses_a_narrower_schema(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    two_schemas(spark, source)
+    files = data_files(source)
+    with pytest.raises(ValueError, match="extra"):
+        compact.compact_move(spark, [source], target, schema=ENRICHED_SCHEMA)
+    assert data_files(source) == files and not data_files(target)
+
+
+def test_move_needs_no_success_marker(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    write_partitioned(scattered(spark), source, rebalance=False)
+    before = rows(read_table(spark, source))
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        compact.compact_move(spark, [source], target, 20_000)
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert rows(read_table(spark, target)) == before and not data_files(source)
+
+
+def test_second_mover_is_turned_away(spark, tmp_path, monkeypatch):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    write_partitioned(scattered(spark), source, rebalance=False)
+    before = rows(read_table(spark, source))
+    real = compact._require_whole
+
+    def meanwhile(rows_, written):
+        with pytest.raises(RuntimeError, match="being compacted"):
+            compact.compact_move(spark, [source], target, 20_000)
+        real(rows_, written)
+
+    monkeypatch.setattr(compact, "_require_whole", meanwhile)
+    compact.compact_move(spark, [source], target, 20_000)
+    assert rows(read_table(spark, target)) == before

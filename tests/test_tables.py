@@ -84,16 +84,21 @@ def test_work_folder_is_the_shared_one():
 
     from ringtrail import storage
 
-    def session(master, **conf):
+    def session(**conf):
         return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: conf.get(key.replace(".", "_"), default)),
-            sparkContext=SimpleNamespace(master=master),
+            conf=SimpleNamespace(get=lambda key, default: conf.get(key.replace(".", "_"), default))
         )
 
-    shared = session("spark://host", spark_checkpoint_dir="hdfs://shared/")
+    shared = session(spark_checkpoint_dir="hdfs://shared/")
     assert storage.work_folder(shared, "x").startswith("hdfs://shared/ringtrail-x-")
-    with pytest.raises(ValueError):
-        storage.work_folder(session("spark://host"), "x")
+
+
+def test_work_folder_is_below_the_warehouse_otherwise(spark):
+    from ringtrail import storage
+
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        assert f"{warehouse}/_work/ringtrail-x-" in storage.work_folder(spark, "x")
 
 
 def test_listing_of_nothing(spark, tmp_path):

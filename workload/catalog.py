@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringtrail import storage
-from ringtrail.operators.addresses import explode_addresses
+from ringtrail.operators.addresses import explode_addresses, without_address
 from ringtrail.operators.parse import parse_cdr
 from ringtrail.operators.sessions import newest_session, pick_latest
 from ringtrail.operators.subscribers import identified, join_subscribers, unidentified
@@ -24,7 +24,7 @@ from ringtrail.sinks.tables import stream_to_table, write_partitioned
 from ringtrail.sources.dictionaries import imsi_dictionary, read_dictionary, session_addresses
 from ringtrail.sources.feeds import open_feed
 from ringtrail.sources.tables import read_table
-from ringtrail.streaming.enrichment import start_enrichment
+from ringtrail.streaming.enrichment import first_batch, start_enrichment
 from ringtrail.streaming.progress import ProgressLog, latest_progress
 from ringtrail.streaming.snapshots import Snapshot
 from workload import feed
@@ -148,7 +148,9 @@ def _feed_folder(spark: SparkSession, sf_dir: str, work: str) -> str:
     return f"{work}/feed"
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, work: str, name: str) -> int:
+def _run_stream(
+    spark: SparkSession, sf_dir: str, work: str, name: str, checkpoint: str = "checkpoint"
+) -> int:
     """Enrich the feed as one micro-batch into `work`/landing; returns the last batch id."""
     known = Snapshot(spark, lambda: subscribers(spark, sf_dir))
     seen = Snapshot(spark, lambda: sessions(spark, sf_dir))
@@ -157,7 +159,7 @@ def _run_stream(spark: SparkSession, sf_dir: str, work: str, name: str) -> int:
         known,
         seen,
         f"{work}/landing",
-        f"{work}/checkpoint",
+        f"{work}/{checkpoint}",
         query_name=name,
         trigger={"availableNow": True},
     )
@@ -250,6 +252,34 @@ def compact_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_table(spark, f"{work}/compacted", ENRICHED_SCHEMA))
 
 
+def compact_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with an odd id have one column more; moved together, nothing is lost."""
+    work = storage.work_folder(spark, "compact")
+    rows = cdr_table(spark, sf_dir)
+    odd = F.coalesce(F.col("unique_cdr_id") % 2 != 0, F.lit(False))
+    write_partitioned(rows.filter(~odd), f"{work}/table")
+    write_partitioned(rows.filter(odd).withColumn("extra", F.col("unique_cdr_id")), f"{work}/table")
+    compact.compact_move(spark, [f"{work}/table"], f"{work}/compacted", REPACK_TARGET_BYTES)
+    moved = read_table(spark, f"{work}/compacted")
+    return moved.groupBy("event_date", "probe").agg(
+        F.count("*").alias("rows"), F.count("extra").alias("extras")
+    )
+
+
+def unroutable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that neither branch can place: no usable IMSI and no address."""
+    return plain(without_address(unidentified(cdr(spark, sf_dir))))
+
+
+def stream_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed through one checkpoint, then again through another, into one landing."""
+    work = storage.work_folder(spark, "stream")
+    for name in ("first", "second"):
+        last = _run_stream(spark, sf_dir, work, f"stream_{name}", checkpoint=name)
+        last += first_batch(spark, f"{work}/landing", f"{work}/{name}")
+    return plain(read_table(spark, f"{work}/landing", ENRICHED_SCHEMA, up_to_batch=last))
+
+
 def latest_progress_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = ProgressLog()
     spark.streams.addListener(log)
@@ -306,6 +336,9 @@ QUERIES: dict[str, Query] = {
     "compaction_plan": compaction_plan,
     "compact_roundtrip": compact_roundtrip,
     "compact_move": compact_move,
+    "compact_mixed_columns": compact_mixed_columns,
+    "unroutable": unroutable,
+    "stream_two_checkpoints": stream_two_checkpoints,
     "latest_progress": latest_progress_query,
     "dictionary_refresh": dictionary_refresh,
 }

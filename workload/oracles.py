@@ -146,6 +146,15 @@ ORACLES: dict[str, str] = {
     "enrich": ENRICHED,
     "enrich_wide": _wide_enriched(),
     "stream_enrich": ENRICHED,
+    "stream_two_checkpoints": _with("select * from enriched union all select * from enriched"),
+    "unroutable": _with(
+        "select * from unidentified where coalesce(len(list_filter("
+        "string_split(trim(ms_ip_address), ';'), lambda ip: trim(ip) <> '')), 0) = 0"
+    ),
+    "compact_mixed_columns": _with(
+        "select event_date, nullif(probe, '') probe, count(*) as rows,"
+        " count(*) filter (unique_cdr_id % 2 <> 0) extras from cdr group by all"
+    ),
     "stream_identified": _with("select * from by_imsi"),
     "partitioned_roundtrip": ENRICHED,
     "imsi_dictionary_read": _with("select imsi _imsi, msisdn _msisdn from imsi_msisdn"),
