@@ -94,11 +94,11 @@ def labelled_sample(
     )
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
     counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
-    part = F.lit(0.0)
+    part = weight = F.lit(1.0)
     for value, count in counts.items():
-        part = F.when(F.col("label") == value, F.lit(per_class / count)).otherwise(part)
-    chosen = known.where(share(F.col("doc_id"), 7) < part).withColumn(
-        "weight", F.greatest(F.lit(1.0), 1 / part)
-    )
+        own = F.col("label") == value
+        part = F.when(own, F.lit(per_class / count)).otherwise(part)
+        weight = F.when(own, F.lit(max(1.0, count / per_class))).otherwise(weight)
+    chosen = known.where(share(F.col("doc_id"), 7) < part).withColumn("weight", weight)
     texts = docs.select("doc_id", "text").where(F.octet_length("text").between(1, max_bytes))
     return texts.join(F.broadcast(chosen), "doc_id")

@@ -169,6 +169,9 @@ def forest(group: np.ndarray, points: np.ndarray, budget: int) -> tuple[np.ndarr
     """Edges that connect, within each group, all fingerprints that chains of links connect."""
     order = np.lexsort((points, group))
     group, points = group[order], points[order]
+    # A fingerprint may come to one group by two ways of dividing the bits.
+    once = np.append(True, (group[1:] != group[:-1]) | (points[1:] != points[:-1]))
+    group, points = group[once], points[once]
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     trie = Trie(starts, points)
     for allowed in range(1, budget + 1):
@@ -232,7 +235,7 @@ def _grouped(points: DataFrame, max_group: int) -> DataFrame:
     rows = points.select("fp", F.lit(0).cast("long").alias("mask"))
     for _ in range(4):
         rows = divided(rows, masks)
-        masks = [q for m in masks for q in _quarters(m)]
+        masks = sorted({q for m in masks for q in _quarters(m)})
         sizes = rows.groupBy("mask", "value").agg(F.count("*").alias("n"))
         hot = staged(sizes.where(F.col("n") > max_group).drop("n"), "groups")
         if hot.isEmpty():
