@@ -87,7 +87,8 @@ def labelled_sample(
     of labelled rows that a row of the sample stands for.
 
     Only rows for which `learn`, an expression over doc_id, is true and whose text has 1 to
-    `max_bytes` bytes. Which rows are taken depends on their ids alone. Ids of the sample, not texts, are broadcast.
+    `max_bytes` bytes. Which rows are taken depends on their ids alone. Ids of the sample, not texts,
+    are broadcast. An id that many rows share gives one row, the least of its texts.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
         F.col("label").isin(0, 1) & F.coalesce(learn, F.lit(False))
@@ -101,4 +102,5 @@ def labelled_sample(
         weight = F.when(own, F.lit(max(1.0, count / per_class))).otherwise(weight)
     chosen = known.where(share(F.col("doc_id"), 7) < part).withColumn("weight", weight)
     texts = docs.select("doc_id", "text").where(F.octet_length("text").between(1, max_bytes))
-    return texts.join(F.broadcast(chosen), "doc_id")
+    found = texts.join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "label", "weight").agg(F.min("text").alias("text"))

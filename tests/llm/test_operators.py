@@ -22,6 +22,7 @@ from ringtrail.llm import (
     toxicity,
     url_filter,
 )
+from ringtrail.llm.rows import labelled_sample
 
 BLANK = r"[\x20\x09-\x0D]+"
 KINDS = "doc_id long, text string, lang string, source string, n_chars long, row long, doc string, score string, kept string"
@@ -298,6 +299,16 @@ def test_nearest_examples_are_exact():
         assert [round(s, 9) for s, _ in got] == [round(s, 9) for s, _ in want]
 
 
+def test_sample_takes_one_text_for_an_id_that_many_rows_share(spark):
+    docs = spark.createDataFrame(
+        [(1, f"text {i % 3}") for i in range(50)] + [(2, "b"), (2, None), (3, ""), (None, "c")],
+        "doc_id long, text string",
+    )
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 0), (None, 1)], "doc_id long, toxic int")
+    got = labelled_sample(docs, labels, "toxic", F.col("doc_id").isNotNull(), 10, 100)
+    assert sorted((r.doc_id, r.label, r.text) for r in got.collect()) == [(1, 0, "text 0"), (2, 0, "b")]
+
+
 def test_models_on_awkward_rows(spark, awkward):
     labels = awkward.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
     learn = F.lit(True)
