@@ -59,18 +59,22 @@ class Index:
         """(cosine, example) of the k nearest, nearest first; ties go to the first example."""
         if not len(terms) or not self.top.shape[1]:
             return []
-        bounds = weights @ self.top[terms] * (1 + 1e-9)
+        # Summed term by term, as scores are: rounding cannot put a score above its bound.
+        bounds = np.cumsum(weights[:, None] * self.top[terms], axis=0)[-1]
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0]:
+        for b in np.argsort(-bounds, kind="stable").tolist():
+            first = b * BLOCK
+            if bounds[b] <= 0 or len(best) == k and (-bounds[b], first) > best[-1]:
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights, strict=True):
-                i, j = self.begin[t, b], self.begin[t, b + 1]
-                if i < j:
-                    scores[self.example[i:j] - b * BLOCK] += w * self.weight[i:j]
-            found = np.flatnonzero(scores)
-            best = sorted(best + [(-scores[x], int(b * BLOCK + x)) for x in found])[:k]
+            begin, end = self.begin[terms, b], self.begin[terms, b + 1]
+            n = end - begin
+            at = np.repeat(end - np.cumsum(n), n) + np.arange(n.sum())
+            scores = np.bincount(
+                self.example[at] - first, np.repeat(weights, n) * self.weight[at], BLOCK
+            )
+            found = np.flatnonzero(scores >= -best[-1][0] if len(best) == k else scores)
+            best += zip((-scores[found]).tolist(), (found + first).tolist(), strict=True)
+            best = sorted(best)[:k]
         return [(-s, x) for s, x in best]
 
 
