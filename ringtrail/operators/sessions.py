@@ -54,6 +54,7 @@ def newest_session(
     sessions: DataFrame,
     hot_rows: int | None = HOT_ROWS,
     slice_seconds: int = SLICE_SECONDS,
+    look_back_seconds: int | None = None,
 ) -> DataFrame:
     """Left outer as-of join: add `_imsi, _msisdn, _start_time` of the newest session whose probe
     and address are equal and whose start is not after the record.
@@ -61,7 +62,12 @@ def newest_session(
     `records` has one row per record and address (`ip`); every one of them comes back once. The
     counting job for hot addresses runs when this is called; `hot_rows=None` leaves it out, for
     inputs known to be small.
+
+    A session matches however old it is, or for `look_back_seconds` if given. Sessions too old for
+    the earliest record, which a further job finds, then go before anything is shuffled.
     """
+    if look_back_seconds is not None:
+        sessions = _recent(sessions, records, look_back_seconds)
     payload = [name for name in records.columns if name not in [*ADDRESS, "start_time"]]
     arrivals = records.select(
         *ADDRESS,
@@ -86,9 +92,14 @@ def newest_session(
         .orderBy("at", F.col("record").isNotNull(), F.desc("session.preference"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    carried = time_line.withColumn("session", F.last("session", ignorenulls=True).over(so_far))
+    if look_back_seconds is not None:
+        age = F.unix_micros("at") - F.unix_micros("session._start_time")
+        carried = carried.withColumn(
+            "session", F.when(age <= look_back_seconds * 1_000_000, F.col("session"))
+        )
     return (
-        time_line.withColumn("session", F.last("session", ignorenulls=True).over(so_far))
-        .filter(F.col("record").isNotNull())
+        carried.filter(F.col("record").isNotNull())
         .select(*ADDRESS, F.col("at").alias("start_time"), "record.*", "session")
         .select(
             *records.columns,
@@ -99,6 +110,14 @@ def newest_session(
     )
 
 
+def _recent(sessions: DataFrame, records: DataFrame, look_back_seconds: int) -> DataFrame:
+    earliest = records.agg(F.min(F.unix_micros("start_time"))).first()[0]
+    if earliest is None:
+        return sessions.limit(0)
+    since = earliest - look_back_seconds * 1_000_000
+    return sessions.filter(F.col("_start_time") >= F.timestamp_micros(F.lit(since)))
+
+
 def pick_latest(matched: DataFrame) -> DataFrame:
     """One row per `unique_cdr_id`: the one with the newest session, unmatched rows last.
 

@@ -47,6 +47,7 @@ def enrich_feed(
     hot_rows: int | None = HOT_ROWS,
     slice_seconds: int = SLICE_SECONDS,
     work: str | None = None,
+    look_back_seconds: int | None = None,
 ) -> DataFrame:
     """Enriched records of a batch of payloads.
 
@@ -61,4 +62,5 @@ def enrich_feed(
         staged(sessions, f"{work}/sessions"),
         hot_rows,
         slice_seconds,
+        look_back_seconds,
     )

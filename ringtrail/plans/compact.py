@@ -67,6 +67,23 @@ def repack(rows: DataFrame, plan: DataFrame, tasks: int) -> DataFrame:
     )
 
 
+def without_directories(rows: DataFrame, left_out: Sequence[Row]) -> DataFrame:
+    """Leave directories out at the listing: a set of partition values, so their files are not
+    opened however many they are."""
+    if not left_out:
+        return rows
+
+    def name(values: Sequence[Column]) -> Column:
+        # Control characters set the values apart; day and probe hold none.
+        return F.concat_ws("\x01", *[F.coalesce(value, F.lit("\x02")) for value in values])
+
+    names = [
+        "\x01".join("\x02" if entry[c] is None else entry[c] for c in PARTITION_COLUMNS)
+        for entry in left_out
+    ]
+    return rows.filter(~name([F.col(c) for c in PARTITION_COLUMNS]).isin(names))
+
+
 def merge_directories(rows: DataFrame, plan: Sequence[Row]) -> DataFrame:
     """Read each directory in `n_out` tasks without a shuffle; a task belongs to one directory."""
 
@@ -282,10 +299,10 @@ def _rewritten(
     plan = spark.read.parquet(where)
     small = plan.filter(F.col("n_out") < merge_from)
     wanted = small.agg(F.sum("n_out")).first()[0]
-    if wanted:
-        yield repack(rows, small, wanted)
-    large = plan.filter(F.col("n_out") >= merge_from).toLocalIterator()
+    large = plan.filter(F.col("n_out") >= merge_from).collect()
     try:
+        if wanted:
+            yield repack(without_directories(rows, large), small, wanted)
         for directories in batched(large, DIRECTORIES_PER_JOB):
             yield merge_directories(rows, directories)
     finally:

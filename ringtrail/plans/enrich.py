@@ -24,14 +24,16 @@ def enrich_by_ip(
     sessions: DataFrame,
     hot_rows: int | None = HOT_ROWS,
     slice_seconds: int = SLICE_SECONDS,
+    look_back_seconds: int | None = None,
 ) -> DataFrame:
     """Records without a usable IMSI, one per `unique_cdr_id`, with the subscriber of the newest
     IP session. Records that list no address are left out.
 
-    `sessions` has one row per session and address (`_ip`).
+    `sessions` has one row per session and address (`_ip`). It is read by the counting job and by
+    the join, so stage a source that may change in between.
     """
     per_address = explode_addresses(unidentified(cdr), "ip")
-    matched = newest_session(per_address, sessions, hot_rows, slice_seconds)
+    matched = newest_session(per_address, sessions, hot_rows, slice_seconds, look_back_seconds)
     return (
         pick_latest(matched)
         .withColumn("msisdn", F.coalesce("_msisdn", "msisdn"))
@@ -46,8 +48,9 @@ def enrich(
     sessions: DataFrame,
     hot_rows: int | None = HOT_ROWS,
     slice_seconds: int = SLICE_SECONDS,
+    look_back_seconds: int | None = None,
 ) -> DataFrame:
     """Both kinds of records in one table with the columns of `cdr`."""
     return enrich_by_imsi(cdr, subscribers).unionByName(
-        enrich_by_ip(cdr, sessions, hot_rows, slice_seconds)
+        enrich_by_ip(cdr, sessions, hot_rows, slice_seconds, look_back_seconds)
     )

@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from itertools import batched
 
 from pyspark.sql import SparkSession
 
+# Requests to the file system at a time, and names held for them.
+REQUESTS, NAMES = 32, 10_000
+
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder that every executor reaches, below `spark.checkpoint.dir`.
@@ -65,15 +70,28 @@ def remove(spark: SparkSession, location: str) -> None:
     _file_system(spark, path).delete(path, True)
 
 
+def _each(work: Callable[[str], None], names: Iterable[str]) -> None:
+    with ThreadPoolExecutor(REQUESTS) as pool:
+        for some in batched(names, NAMES):
+            for _ in pool.map(work, some):
+                pass
+
+
 def remove_files(spark: SparkSession, locations: Iterable[str]) -> None:
     """Delete files named by encoded URIs (as in `_metadata.file_path`), and the partition folders
-    (`name=value`) that are empty then."""
+    (`name=value`) that are empty then.
+
+    File by file: a folder deleted as a whole would take along what arrives meanwhile.
+    """
     jvm = spark.sparkContext._jvm
     folders = set()
-    for location in locations:
+
+    def delete(location: str) -> None:
         path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(location))
         _file_system(spark, path).delete(path, False)
         folders.add(path.getParent().toString())
+
+    _each(delete, locations)
     for folder in folders:
         while "=" in folder.rpartition("/")[2] and exists(spark, folder):
             if children(spark, folder):
@@ -83,14 +101,19 @@ def remove_files(spark: SparkSession, locations: Iterable[str]) -> None:
 
 
 def move_files(spark: SparkSession, source: str, target: str) -> None:
-    """Rename every file below `source` to the same relative place below `target`."""
-    base = _path(spark, source)
-    files = _file_system(spark, base)
-    prefix = len(files.makeQualified(base).toString()) + 1
-    found = files.listFiles(base, True)
-    while found.hasNext():
-        path = found.next().getPath()
-        goal = _path(spark, f"{target.rstrip('/')}/{path.toString()[prefix:]}")
-        files.mkdirs(goal.getParent())
-        if not files.rename(path, goal):
-            raise OSError(f"could not move {path.toString()} to {goal.toString()}")
+    """Rename what is below `source` to the same relative place below `target`: a folder that the
+    target lacks as a whole, the content of others one by one. May be run again after a crash."""
+    files = _file_system(spark, _path(spark, source))
+    files.mkdirs(_path(spark, target))
+
+    def move(name: str) -> None:
+        path, goal = _path(spark, name), _path(spark, f"{target.rstrip('/')}/{name.rpartition('/')[2]}")
+        if files.exists(goal) and files.getFileStatus(path).isDirectory():
+            both.append((name, goal.toString()))
+        elif not files.rename(path, goal):
+            raise OSError(f"could not move {name} to {goal.toString()}")
+
+    both: list[tuple[str, str]] = []
+    _each(move, children(spark, source))
+    for inner, goal in both:
+        move_files(spark, inner, goal)

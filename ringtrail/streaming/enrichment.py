@@ -53,6 +53,7 @@ def start_enrichment(
     hot_rows: int | None = HOT_ROWS,
     slice_seconds: int = SLICE_SECONDS,
     format: str = "parquet",
+    look_back_seconds: int | None = None,
 ) -> StreamingQuery:
     """Enrich a stream of raw payloads into a landing table, one directory per micro-batch.
 
@@ -76,7 +77,7 @@ def start_enrichment(
                 known = only_wanted(known, ["_imsi"], identified(batch), ["imsi"])
                 per_address = explode_addresses(unidentified(batch), "ip")
                 seen = only_wanted(seen, ["_probe", "_ip"], per_address, ["probe", "ip"])
-                result = enrich(batch, known, seen, hot_rows, slice_seconds)
+                result = enrich(batch, known, seen, hot_rows, slice_seconds, look_back_seconds)
             write_batch(result, landing, first + batch_id, format)
         finally:
             batch.unpersist()

@@ -232,3 +232,31 @@ def test_second_mover_is_turned_away(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(compact, "_require_whole", meanwhile)
     compact.compact_move(spark, [source], target, 20_000)
     assert rows(read_table(spark, target)) == before
+
+
+def test_shuffle_does_not_list_large_directories(spark, tmp_path):
+    source = str(tmp_path / "source")
+    write_partitioned(scattered(spark), source, rebalance=False)
+    table = read_table(spark, source)
+    plan = compact.plan_files(compact.inventory(spark, [source]), 20_000)
+    large = plan.filter("n_out >= 3").collect()
+    assert large
+    small = compact.without_directories(table, large)
+    text = small._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [NOT" in text and "\nFilter" not in text
+    kept = {(r.event_date, r.probe) for r in small.select("event_date", "probe").distinct().collect()}
+    assert kept == {(r.event_date, r.probe) for r in plan.filter("n_out < 3").collect()}
+    rows_read = compact.repack(small, plan.filter("n_out < 3"), 4)
+    assert "PartitionFilters: [NOT" in rows_read._jdf.queryExecution().executedPlan().toString()
+    only_null = compact.without_directories(table, [r for r in plan.collect() if r.probe is None])
+    assert only_null.filter("probe is null").isEmpty() and not only_null.isEmpty()
+
+
+def test_publish_moves_whole_folders_and_adds_to_those_there(spark, tmp_path):
+    for name in ("staged/event_date=a/probe=1/x", "staged/event_date=a/probe=2/y", "staged/event_date=b/probe=1/z", "target/event_date=a/probe=1/w"):
+        path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(name)
+    storage.move_files(spark, str(tmp_path / "staged"), str(tmp_path / "target"))
+    found = sorted(str(p.relative_to(tmp_path / "target")) for p in (tmp_path / "target").rglob("*") if p.is_file() and not p.name.endswith(".crc"))
+    assert found == ["event_date=a/probe=1/w", "event_date=a/probe=1/x", "event_date=a/probe=2/y", "event_date=b/probe=1/z"]

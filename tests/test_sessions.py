@@ -205,3 +205,16 @@ def test_records_that_cannot_match_are_spread(spark):
     assert matched.filter("_imsi is not null").isEmpty()
     salted = cdr.withColumn("at", F.col("start_time")).select(ops._spread(F.lit(0)).alias("salt"))
     assert salted.groupBy("salt").count().agg(F.max("count")).first()[0] <= n / 8
+
+
+@pytest.mark.parametrize("hot_rows", [None, 1])
+def test_look_back(spark, hot_rows):
+    cdr = records(spark, [(t, None, "a;b", t, "P") for t in (5, 10, 20, 30, 100)] + [(None, None, "a", 7, "P")])
+    sessions = starts(spark, [("P", s, 1, s, ip) for s, ip in ((1, "a"), (9, "b"), (12, "a"), (40, "b"), (95, "a"))])
+    got = enrich_by_ip(cdr, sessions, hot_rows, 10, look_back_seconds=10)
+    near = {}
+    for t in (5, 10, 20, 30, 100):
+        near[t] = max((s for s in (1, 9, 12, 40, 95) if t - 10 <= s <= t), default=None)
+    assert {r.unique_cdr_id: r.imsi for r in got.collect()} == {**near, 7: None}
+    untimed = records(spark, [(None, None, "a", 1, "P")])
+    assert [r.imsi for r in enrich_by_ip(untimed, sessions, hot_rows, 10, look_back_seconds=10).collect()] == [None]

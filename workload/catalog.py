@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ringtrail import storage
@@ -17,6 +17,7 @@ from ringtrail.plans.batch import enrich_feed, records_of, staged
 from ringtrail.schema import (
     ENRICHED_SCHEMA,
     IMSI_DICTIONARY,
+    PARTITION_COLUMNS,
     SESSION_DICTIONARY,
     WIDE_CDR_FIELDS,
 )
@@ -31,10 +32,8 @@ from workload import feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Small targets, so that the plan and the rewrite have more than one file per directory to make.
+# A small target, so that the plan has more than one file per directory to make.
 PLAN_TARGET_BYTES = 100_000
-REPACK_TARGET_BYTES = 8_192
-MERGE_FROM = 2
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -64,6 +63,11 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_addresses(feed.ms_ip(spark, sf_dir))
 
 
+def sessions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions as a table, for plans that count and join them."""
+    return staged(sessions(spark, sf_dir), storage.work_folder(spark, "sessions"))
+
+
 def parse_cdr_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(cdr(spark, sf_dir))
 
@@ -98,7 +102,7 @@ def enrich_by_imsi(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = explode_addresses(unidentified(cdr_table(spark, sf_dir)), "ip")
-    return newest_session(records, sessions(spark, sf_dir))
+    return newest_session(records, sessions_table(spark, sf_dir))
 
 
 def session_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,14 +114,14 @@ def pick_latest_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_by_ip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(enrich.enrich_by_ip(cdr_table(spark, sf_dir), sessions(spark, sf_dir)))
+    return plain(enrich.enrich_by_ip(cdr_table(spark, sf_dir), sessions_table(spark, sf_dir)))
 
 
 def enrich_by_ip_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way hot addresses go, taken by every address with more than one row."""
     return plain(
         enrich.enrich_by_ip(
-            cdr_table(spark, sf_dir), sessions(spark, sf_dir), hot_rows=1, slice_seconds=3600
+            cdr_table(spark, sf_dir), sessions_table(spark, sf_dir), hot_rows=1, slice_seconds=3600
         )
     )
 
@@ -216,9 +220,65 @@ def session_dictionary_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(read_dictionary(spark, SESSION_DICTIONARY, format="parquet", path=place))
 
 
+def _two_roots(spark: SparkSession, sf_dir: str, work: str) -> list[str]:
+    """Odd and other ids in a root each, one file per directory, and a stray child beside them."""
+    rows = staged(_enriched(spark, sf_dir), f"{work}/rows")
+    odd = F.coalesce(F.col("unique_cdr_id") % 2 != 0, F.lit(False))
+    roots = [f"{work}/odd", f"{work}/other"]
+    for root, half in zip(roots, (odd, ~odd), strict=True):
+        packed = rows.filter(half).repartition(*PARTITION_COLUMNS)
+        write_partitioned(packed, root, rebalance=False)
+    write_partitioned(rows, f"{roots[0]}/compacted")
+    return roots
+
+
+def _sizes(
+    spark: SparkSession, roots: list[str], up_to_batch: int | None = None
+) -> tuple[int, int]:
+    """Target bytes and `merge_from` for which about a quarter of the directories, the largest, get
+    three files by unshuffled merges, and of the others some get two by the shuffle."""
+    found = compact.inventory(spark, roots, up_to_batch)
+    large = found.agg(F.percentile_approx("bytes", 0.75)).first()[0]
+    target, merge_from = -(-large * 6 // 10), 3
+    planned = {row["n_out"] for row in compact.plan_files(found, target).select("n_out").distinct().collect()}
+    if 2 not in planned or max(planned) < merge_from:
+        raise ValueError(f"directories of {sorted(planned)} files do not test both rewrites")
+    return target, merge_from
+
+
 def compaction_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    work = storage.work_folder(spark, "table")
-    return compact.inventory(spark, [_written(spark, sf_dir, work, True)])
+    """Files per directory over two roots, from listing; the stray child is not counted."""
+    roots = _two_roots(spark, sf_dir, storage.work_folder(spark, "table"))
+    found = compact.inventory(spark, roots)
+    return found.select(*PARTITION_COLUMNS, "files", (F.col("bytes") > 0).alias("has_bytes"))
+
+
+def compact_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per directory of two roots compacted into one table, and whether its files are as many
+    as planned at most."""
+    work = storage.work_folder(spark, "compact")
+    roots = _two_roots(spark, sf_dir, work)
+    target, merge_from = _sizes(spark, roots)
+    compact.compact_copy(spark, roots, f"{work}/compacted", target, merge_from)
+    plan = compact.plan_files(compact.inventory(spark, roots), target)
+    made = compact.inventory(spark, [f"{work}/compacted"]).alias("m")
+    rows = read_table(spark, f"{work}/compacted", ENRICHED_SCHEMA)
+    counts = rows.groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("rows")).alias("c")
+
+    def same(a: str, b: str) -> Column:
+        here = [F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in PARTITION_COLUMNS]
+        return here[0] & here[1]
+
+    return (
+        plan.alias("p")
+        .join(made, same("p", "m"))
+        .join(counts, same("p", "c"))
+        .select(
+            *[f"p.{name}" for name in PARTITION_COLUMNS],
+            "rows",
+            (F.col("m.files") <= F.col("n_out")).alias("fits"),
+        )
+    )
 
 
 def compaction_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,20 +295,25 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream to landing, then compact the committed batches into a sibling table."""
     work = storage.work_folder(spark, "compact")
     last = _run_stream(spark, sf_dir, work, "compact_roundtrip")
-    compact.compact_copy(
-        spark,
-        [f"{work}/landing"],
-        f"{work}/compacted",
-        REPACK_TARGET_BYTES,
-        up_to_batch=last,
-    )
+    landing = [f"{work}/landing"]
+    sizes = _sizes(spark, landing, last)
+    compact.compact_copy(spark, landing, f"{work}/compacted", *sizes, up_to_batch=last)
     return plain(read_table(spark, f"{work}/compacted", ENRICHED_SCHEMA))
 
 
 def compact_move(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = storage.work_folder(spark, "compact")
     source = _written(spark, sf_dir, work, False)
-    compact.compact_move(spark, [source], f"{work}/compacted", REPACK_TARGET_BYTES, MERGE_FROM)
+    compact.compact_move(spark, [source], f"{work}/compacted", *_sizes(spark, [source]))
+    return plain(read_table(spark, f"{work}/compacted", ENRICHED_SCHEMA))
+
+
+def compact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of the same days, each moved out of the landing when it is committed."""
+    work = storage.work_folder(spark, "compact")
+    for _ in range(2):
+        last = _run_stream(spark, sf_dir, work, "compact_incremental")
+        compact.compact_move(spark, [f"{work}/landing"], f"{work}/compacted", up_to_batch=last)
     return plain(read_table(spark, f"{work}/compacted", ENRICHED_SCHEMA))
 
 
@@ -259,7 +324,7 @@ def compact_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     odd = F.coalesce(F.col("unique_cdr_id") % 2 != 0, F.lit(False))
     write_partitioned(rows.filter(~odd), f"{work}/table")
     write_partitioned(rows.filter(odd).withColumn("extra", F.col("unique_cdr_id")), f"{work}/table")
-    compact.compact_move(spark, [f"{work}/table"], f"{work}/compacted", REPACK_TARGET_BYTES)
+    compact.compact_move(spark, [f"{work}/table"], f"{work}/compacted")
     moved = read_table(spark, f"{work}/compacted")
     return moved.groupBy("event_date", "probe").agg(
         F.count("*").alias("rows"), F.count("extra").alias("extras")
@@ -301,7 +366,7 @@ def dictionary_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     def load() -> DataFrame:
         return subscribers(spark, sf_dir).withColumn("_msisdn", F.col("_msisdn") + shift[0])
 
-    snapshot = Snapshot(spark, load, ttl_seconds=300, clock=lambda: now[0])
+    snapshot = Snapshot(spark, load, ttl_seconds=300, eager=True, clock=lambda: now[0])
     # The source changes right after the first read.
     for phase, time in (("first read", 0.0), ("within ttl", 299.0), ("after ttl", 300.0)):
         now[0] = time
@@ -334,6 +399,8 @@ QUERIES: dict[str, Query] = {
     "session_dictionary_read": session_dictionary_read,
     "compaction_inventory": compaction_inventory,
     "compaction_plan": compaction_plan,
+    "compact_files": compact_files,
+    "compact_incremental": compact_incremental,
     "compact_roundtrip": compact_roundtrip,
     "compact_move": compact_move,
     "compact_mixed_columns": compact_mixed_columns,

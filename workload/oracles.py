@@ -168,6 +168,16 @@ select lang, source, cast(sum(n_chars) as bigint) bytes,
   / {PLAN_TARGET_BYTES}.0::double) as integer) n_out
 from documents group by lang, source
 """,
+    "compaction_inventory": _with(
+        "select event_date, nullif(probe, '') probe,"
+        " count(distinct coalesce(unique_cdr_id % 2 <> 0, false)) files, true has_bytes"
+        " from enriched group by all"
+    ),
+    "compact_files": _with(
+        "select event_date, nullif(probe, '') probe, count(*) as rows, true fits"
+        " from enriched group by all"
+    ),
+    "compact_incremental": _with("select * from enriched union all select * from enriched"),
     "compact_roundtrip": ENRICHED,
     "compact_move": ENRICHED,
     "latest_progress": """
