@@ -369,3 +369,15 @@ def test_url_rules_and_spread(spark):
     }
     assert got[2]["trust"] > got[3]["trust"] > 0 and got[5]["distrust"] > 0
     assert url_filter.judge(table, rules).count() == len(pages)
+
+
+def test_dictionary_has_a_share_of_every_text():
+    pick = random.Random(4)
+    texts = [bytes(pick.choices(range(97, 123), k=600)) for _ in range(1500)]
+    own = quality.dictionary(texts)
+    assert all(t[172:428] in own for t in texts)
+    few = quality.dictionary(texts[:3])
+    assert len(few) <= quality.DICTIONARY and all(t in few for t in texts[:3])
+    # The compressor finds the first text as well as the last.
+    model = quality.Model(own, b"")
+    assert min(model.difference(texts[0][172:428]), model.difference(texts[-1][172:428])) > 0.4
