@@ -7,15 +7,20 @@ that link to them (personalised PageRank, both at once). DataFrame functions onl
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ringtrail.llm.rows import staged
+from ringtrail.llm.rows import release, staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r'(?i)<a\s[^>]*?href\s*=\s*["\x27]([^"\x27#]*)'
+#: Up to the first blank, `>` or `#`: the host comes before any of them, quoted or not.
+LINK = r'(?i)<a\s[^>]*?href\s*=\s*["\x27]?\s*([^"\x27\s>#]*)'
+ABSOLUTE = "^([A-Za-z][A-Za-z0-9+.-]*:)?//"
+#: Rounds between two tables of scores.
+STEP = 4
 
 
 @dataclass(frozen=True)
@@ -60,15 +65,15 @@ def host_links(pages: DataFrame) -> DataFrame:
     absolute = F.when(F.col("link").startswith("//"), F.concat(F.lit(":"), "link")).otherwise(
         F.col("link")
     )
-    ends = found.where(F.instr("link", "//") > 0).select("src", host_of(absolute).alias("dst"))
+    ends = found.where(F.col("link").rlike(ABSOLUTE)).select("src", host_of(absolute).alias("dst"))
     ends = ends.where((F.col("src") != "") & (F.col("dst") != "") & (F.col("src") != F.col("dst")))
     return ends.groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, rounds: int, damping: float) -> DataFrame:
-    """host, trust, distrust after so many rounds from seeds of the same columns.
+def spread(seeds: DataFrame, links: DataFrame, rest: float, damping: float) -> DataFrame:
+    """host, trust, distrust from seeds of the same columns, each less than `rest` below its limit.
 
-    A host passes `damping` of its trust to those it links to, by number of links, and of its
+    Rounds go on until all that is still under way, of all hosts together, is below `rest`. A host passes `damping` of its trust to those it links to, by number of links, and of its
     distrust to those that link to it. What a host without links would pass is lost.
     """
     ways = links.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionByName(
@@ -93,14 +98,26 @@ def spread(seeds: DataFrame, links: DataFrame, rounds: int, damping: float) -> D
         "seeds",
     )
     scores = start
-    if not ways.isEmpty():
-        for done in range(1, rounds + 1):
+    total = before = start.agg(F.sum("score")).first()[0] or 0.0
+    if total and not ways.isEmpty():
+        # After n rounds at most total * damping ** (n + 1) / (1 - damping) is under way.
+        most = math.ceil(math.log(rest * (1 - damping) / total) / math.log(damping))
+        shrink = damping**STEP
+        for done in range(1, max(most, 1) + 1):
             passed = scores.join(ways, ["kind", "src"]).select(
                 F.col("dst").alias("src"), "kind", (F.col("score") * F.col("part")).alias("score")
             )
             scores = start.unionByName(passed).groupBy("kind", "src").agg(F.sum("score").alias("score"))
-            if done % 4 == 0 and done < rounds:
+            if done % STEP == 0:
                 scores = staged(scores, "scores")
+                if done > STEP:
+                    release(last)
+                last = scores
+                now = scores.agg(F.sum("score")).first()[0]
+                # What was added since the last table shrinks by this factor, table by table.
+                if (now - before) * shrink / (1 - shrink) < rest:
+                    break
+                before = now
     of = lambda kind: F.round(F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)), 9)
     return scores.groupBy(F.col("src").alias("host")).agg(
         of("trust").alias("trust"), of("distrust").alias("distrust")
@@ -110,7 +127,7 @@ def spread(seeds: DataFrame, links: DataFrame, rounds: int, damping: float) -> D
 def judge(
     pages: DataFrame,
     rules: list[Rule],
-    rounds: int = 12,
+    rest: float = 1e-6,
     damping: float = 0.85,
     least_distrust: float = 0.05,
 ) -> DataFrame:
@@ -118,7 +135,8 @@ def judge(
 
     The longest rule that fits decides; of equally long ones the first in the list. Other pages are
     blocked if their host's distrust is at least `least_distrust` and above its trust. A host's own
-    seeds are the shares of its pages that rules allow and block. Without url or `://` host and
+    seeds are the shares of its pages that rules allow and block. Trust spreads until every host's
+    score is within `rest` of its limit, so only closer ties can fall either way. Without url or `://` host and
     path are empty, and such a page is allowed. NULL html has no links. Only page_id, url and html
     are read; repeated rows stay repeated. `rules` are a short list.
     """
@@ -135,7 +153,7 @@ def judge(
         .groupBy("host")
         .agg(share("allow").alias("trust"), share("block").alias("distrust"))
     )
-    scores = spread(seeds, host_links(found), rounds, damping)
+    scores = spread(seeds, host_links(found), rest, damping)
     known = found.drop("html").join(scores, "host", "left")
     trust, distrust = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("trust", "distrust"))
     by_host = F.when((distrust >= least_distrust) & (distrust > trust), "block").otherwise("allow")

@@ -381,3 +381,24 @@ def test_dictionary_has_a_share_of_every_text():
     # The compressor finds the first text as well as the last.
     model = quality.Model(own, b"")
     assert min(model.difference(texts[0][172:428]), model.difference(texts[-1][172:428])) > 0.4
+
+
+def test_distrust_reaches_the_end_of_a_chain(spark):
+    n = 19
+    pages = [(0, "http://h0.net/bad/x", "")]
+    pages += [(i, f"http://h{i}.net/p", f'<a href="http://h{i - 1}.net/">y</a>') for i in range(1, n)]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r["page_id"]: r for r in url_filter.judge(table, [url_filter.Rule("block", "net/bad/")]).collect()}
+    for i in range(n):
+        assert abs(got[i]["distrust"] - 0.85**i) < 1e-6
+        assert got[i]["verdict"] == ("block" if 0.85**i >= 0.05 else "allow")
+
+
+def test_links_without_quotes_and_links_inside_queries(spark):
+    html = (
+        "<a href=http://One.net/x>1</a><a class=y href=//two.net>2</a><a href='https://three.net#z'>3</a>"
+        '<a href="/go?u=http://four.net/">4</a><a href=go//five.net>5</a><a href = " HTTP://six.net/a b">6</a>'
+    )
+    pages = spark.createDataFrame([("own.net", html)], "host string, html string")
+    got = {r["dst"]: r["n"] for r in url_filter.host_links(pages).collect()}
+    assert got == {"one.net": 1, "two.net": 1, "three.net": 1, "six.net": 1}
