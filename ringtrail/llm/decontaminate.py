@@ -2,19 +2,22 @@
 
 The test items are indexed by word, with BM25 impacts as parts of the score that an item gives
 itself, so that one threshold serves items of any length. Every passage of every document is a
-query. Impacts have a maximum per word and per block of items: passages in which no block can reach
+query, in lengths that go with the items' own: items are in classes by powers of two of their
+words. Impacts have a maximum per word and per block of items: passages in which no block can reach
 the threshold are dropped a batch at a time, and the others go through the posting lists by
-pivoting, skipping blocks, until all items above the threshold are found. A hit stands if the words
-of the question and of the answer are there, in order.
+pivoting, skipping blocks, until all items above the threshold are found. A hit stands if a window
+of twice the item's own words reaches the threshold too and has the words of the question and of the
+answer, in order. So what is found depends on the item and the text alone, not on other items.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -44,16 +47,32 @@ def parts_of(text: str) -> tuple[list[str], list[str]]:
     return words[:half], words[half:] or words
 
 
-def pairs_of(words: list[str]) -> set[tuple[str, ...]]:
+def pairs_of(words: list[str]) -> list[tuple[str, ...]]:
     """Neighbouring words; the word itself if there is one only."""
-    return set(zip(words, words[1:])) if len(words) > 1 else {(w,) for w in words}
+    return list(zip(words, words[1:])) if len(words) > 1 else [(w,) for w in words]
 
 
 def overlap(part: list[str], passage: list[str]) -> float:
-    """Share of the part's word pairs that the passage has."""
+    """Share of the part's word pairs that the passage has in the part's order (longest common
+    subsequence, a bit for each pair)."""
     wanted = pairs_of(part)
-    have = set(zip(passage, passage[1:])) if len(part) > 1 else {(w,) for w in passage}
-    return len(wanted & have) / len(wanted) if wanted else 0.0
+    if not wanted:
+        return 0.0
+    places: dict[tuple[str, ...], int] = {}
+    for i, pair in enumerate(wanted):
+        places[pair] = places.get(pair, 0) | 1 << i
+    full = (1 << len(wanted)) - 1
+    free = full
+    for pair in zip(passage, passage[1:]) if len(part) > 1 else ((w,) for w in passage):
+        if at := places.get(pair):
+            used = free & at
+            free = (free + used | free - used) & full
+    return (len(wanted) - free.bit_count()) / len(wanted)
+
+
+def step_of(item: tuple[int | None, list[str], list[str]]) -> int:
+    """Words of a segment for an item: the least power of two that is not below its own."""
+    return 1 << (len(item[1]) + len(item[2]) - 1).bit_length()
 
 
 @dataclass
@@ -68,15 +87,24 @@ class Index:
     #: Largest impact of a term, in all and in each block of items.
     top: list[float] = field(default_factory=list)
     block_top: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.float32))
-    #: Words of the longest item; every item lies within some passage of twice as many.
-    longest: int = 1
-
-    def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Items whose summed impacts over the terms reach the threshold, with the sums."""
-        end = len(self.items)
+    #: Impacts of each item by word.
+    impacts: list[dict[str, float]] = field(default_factory=list)
+    #: Runs of items with the same `step_of`: step, first item, end, and which terms they have.
+    classes: list[tuple[int, int, int, np.ndarray]] = field(default_factory=list)
+
+    def wand(
+        self, terms: list[int], threshold: float, first: int = 0, end: int | None = None
+    ) -> list[tuple[int, float]]:
+        """Items from `first` to `end` whose summed impacts over the terms reach the threshold, with
+        the sums."""
+        end = len(self.items) if end is None else end
         item, impact, begin, block_top = self.item, self.impact, self.begin, self.block_top
         # A cursor: item it stands at, term, place in the postings, end of the postings.
-        cursors = [[item[begin[t]], t, int(begin[t]), int(begin[t + 1])] for t in terms]
+        cursors = []
+        for t in terms:
+            last = int(begin[t + 1])
+            place = bisect_left(item, first, int(begin[t]), last)
+            cursors.append([item[place] if place < last else end, t, place, last])
         found = []
 
         def advance(cursor: list, to: int) -> None:
@@ -131,7 +159,7 @@ def build(items: list[tuple[int | None, list[str], list[str]]], df: Counter[str]
         own = sum(scores.values())
         for w, s in scores.items():
             postings.setdefault(w, []).append((i, s / own))
-        index.longest = max(index.longest, sum(counts.values()))
+        index.impacts.append({w: s / own for w, s in scores.items()})
     words = sorted(postings)
     index.terms = {w: t for t, w in enumerate(words)}
     index.begin = np.cumsum([0] + [len(postings[w]) for w in words])
@@ -146,6 +174,13 @@ def build(items: list[tuple[int | None, list[str], list[str]]], df: Counter[str]
         # Rounded up, so that a bound stays a bound.
         np.nextafter(np.array(index.impact, np.float32), np.float32(2)),
     )
+    first = 0
+    for step, same in groupby(items, key=step_of):
+        end = first + len(list(same))
+        has = np.zeros(len(words), bool)
+        has[[index.terms[w] for own in index.impacts[first:end] for w in own]] = True
+        index.classes.append((step, first, end, has))
+        first = end
     return index
 
 
@@ -162,7 +197,9 @@ def indexes(benchmark: DataFrame, question: Column | None = None, answer: Column
     else:
         rows = benchmark.select("item_id", question, answer).toLocalIterator()
         items = [(r[0], words_of(r[1] or ""), words_of(r[2] or "")) for r in rows]
-    items = sorted((i for i in items if i[1] or i[2]), key=lambda i: (i[0] is None, i[0], i[1], i[2]))
+    items = sorted(
+        (i for i in items if i[1] or i[2]), key=lambda i: (step_of(i), i[0] is None, i[0] or 0, i[1], i[2])
+    )
     df: Counter[str] = Counter()
     for _, q, a in items:
         df.update(set(q + a))
@@ -174,9 +211,9 @@ def indexes(benchmark: DataFrame, question: Column | None = None, answer: Column
 
 @dataclass(frozen=True)
 class Limits:
-    #: Part of an item's BM25 score of itself that a passage must reach.
+    #: Part of an item's BM25 score of itself that a window must reach.
     bm25: float = 0.6
-    #: Share of the word pairs of the question, and of the answer, that the passage must have.
+    #: Share of the word pairs of the question, and of the answer, that the window must have in order.
     question: float = 0.6
     answer: float = 0.6
 
@@ -184,11 +221,21 @@ class Limits:
 Hit = tuple[int, float, float, float, int, int]
 
 
+def windows(size: int, wide: int) -> list[int]:
+    """Where windows of `wide` words begin in `size` words: at every half, and the last one."""
+    last = max(size - wide, 0)
+    return [*range(0, last, max(wide // 2, 1)), last]
+
+
 def search(index: Index, texts: list[str], limits: Limits) -> list[list[Hit]]:
-    """For each text its hits, best passage of each item: item, BM25 part, overlap of question and
-    answer, first and last word of the passage."""
-    step = index.longest
+    """For each text its hits, best window of each item: item, BM25 part, overlap of question and
+    answer, first and last word of the window.
+
+    A passage of an item's class has twice the class's step, so it holds every run of the item's
+    length; so does a window, of twice the item's own length, in it.
+    """
     out: list[list[Hit]] = [[] for _ in texts]
+    width = len(index.terms)
 
     def settle(some: list[tuple[int, list[str]]]) -> None:
         sizes = np.array([len(words) for _, words in some])
@@ -197,39 +244,40 @@ def search(index: Index, texts: list[str], limits: Limits) -> list[list[Hit]]:
             np.int64,
             int(sizes.sum()),
         )
-        count = -(-sizes // step)
-        first = np.cumsum(count) - count
+        known = np.flatnonzero(ids >= 0)
         offset = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        segment = np.repeat(first, sizes) + offset // step
-        known = ids >= 0
-        width = len(index.terms)
-        here = np.unique(segment[known] * width + ids[known])
-        # A passage is a segment and the next one of the same text.
-        starts_text = np.zeros(int(count.sum()) + 1, bool)
-        starts_text[first] = True
-        back = here[~starts_text[here // width]] - width
-        both = np.unique(np.concatenate([here, back]))
-        if not both.size:
-            return
-        passage, term = np.divmod(both, width)
-        new = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
-        ends = np.append(new[1:], len(both))
-        for cut in range(0, len(new), 4096):
-            low, high = new[cut], ends[min(cut + 4096, len(new)) - 1]
-            bounds = np.add.reduceat(index.block_top[term[low:high]], new[cut : cut + 4096] - low)
-            for p in np.flatnonzero(bounds.max(axis=1) * (1 + 1e-5) >= limits.bm25) + cut:
-                hits = index.wand(term[new[p] : ends[p]].tolist(), limits.bm25)
-                if not hits:
-                    continue
-                own = int(np.searchsorted(first, passage[new[p]], side="right")) - 1
-                text, words = some[own]
-                begin = int(passage[new[p]] - first[own]) * step
-                around = words[begin : begin + 2 * step]
-                for item, score in hits:
-                    _, question, answer = index.items[item]
-                    q, a = overlap(question, around), overlap(answer, around)
-                    if (q >= limits.question or not question) and a >= limits.answer:
-                        out[text].append((item, score, q, a, begin, begin + len(around)))
+        for step, begin_item, end_item, has in index.classes:
+            at = known[has[ids[known]]]
+            count = -(-sizes // step)
+            first = np.cumsum(count) - count
+            segment = np.repeat(first, sizes)[at] + offset[at] // step
+            here = np.unique(segment * width + ids[at])
+            # A passage is a segment and the next one of the same text.
+            starts_text = np.zeros(int(count.sum()) + 1, bool)
+            starts_text[first] = True
+            back = here[~starts_text[here // width]] - width
+            both = np.unique(np.concatenate([here, back]))
+            if not both.size:
+                continue
+            passage, term = np.divmod(both, width)
+            new = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+            ends = np.append(new[1:], len(both))
+            tops = index.block_top[:, begin_item // BLOCK : -(-end_item // BLOCK)]
+            for cut in range(0, len(new), 4096):
+                low, high = new[cut], ends[min(cut + 4096, len(new)) - 1]
+                bounds = np.add.reduceat(tops[term[low:high]], new[cut : cut + 4096] - low)
+                for p in np.flatnonzero(bounds.max(axis=1) * (1 + 1e-5) >= limits.bm25) + cut:
+                    found = index.wand(
+                        term[new[p] : ends[p]].tolist(), limits.bm25 * (1 - 1e-9), begin_item, end_item
+                    )
+                    if not found:
+                        continue
+                    own = int(np.searchsorted(first, passage[new[p]], side="right")) - 1
+                    text, words = some[own]
+                    begin = int(passage[new[p]] - first[own]) * step
+                    around = words[begin : begin + 2 * step]
+                    for item, _ in found:
+                        out[text] += verified(index, item, around, begin, limits)
 
     some, size = [], 0
     for i, text in enumerate(texts):
@@ -250,13 +298,30 @@ def search(index: Index, texts: list[str], limits: Limits) -> list[list[Hit]]:
     return out
 
 
+def verified(index: Index, item: int, around: list[str], begin: int, limits: Limits) -> Iterator[Hit]:
+    """Hits of an item in the windows of a passage that begins at word `begin` of its text."""
+    _, question, answer = index.items[item]
+    impacts, wide = index.impacts[item], 2 * (len(question) + len(answer))
+    for start in windows(len(around), wide):
+        window = around[start : start + wide]
+        score = sum(impacts[w] for w in sorted(impacts.keys() & set(window)))
+        if score < limits.bm25 * (1 - 1e-9):
+            continue
+        a = overlap(answer, window)
+        if a < limits.answer:
+            continue
+        q = overlap(question, window)
+        if q >= limits.question or not question:
+            yield item, score, q, a, begin + start, begin + start + len(window)
+
+
 HITS = "doc_id long, item_id long, bm25 double, question double, answer double, begin int, end int"
 
 
 def leaks(docs: DataFrame, own: list[Index], limits: Limits = Limits()) -> DataFrame:
     """doc_id, item_id, bm25, question, answer, begin, end: every item found in every document.
 
-    One row for a document and item, with the best passage (words begin to end). NULL and empty
+    One row for a document and item, with the best window (words begin to end). NULL and empty
     texts have no hits, nor has any without test items. Only doc_id and text are read; repeated
     rows give repeated hits. Each index (bounded by `ITEMS`) is broadcast, and read over by a pass
     of its own.

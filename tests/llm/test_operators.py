@@ -402,3 +402,48 @@ def test_links_without_quotes_and_links_inside_queries(spark):
     pages = spark.createDataFrame([("own.net", html)], "host string, html string")
     got = {r["dst"]: r["n"] for r in url_filter.host_links(pages).collect()}
     assert got == {"one.net": 1, "two.net": 1, "three.net": 1, "six.net": 1}
+
+
+def test_long_item_leaves_short_ones_as_they_are(spark):
+    pick = random.Random(6)
+    common = [f"c{i}" for i in range(120)]
+    say = lambda n: pick.choices(common, k=n)
+    item = lambda n: (say(2 * n // 3), say(n - 2 * n // 3))
+    parts = [item(n) for n in (6, 9, 12, 15, 30)]
+    rows = [(i, " ".join(q) + ". " + " ".join(a)) for i, (q, a) in enumerate(parts)]
+    long = " ".join(f"r{i % 700}" if i % 2 else w for i, w in enumerate(say(1900))) + ". " + " ".join(say(100))
+    clean = [(i, " ".join(say(8000))) for i in range(4)]
+    # The pairs of an item all over a text, and close by but in the wrong order.
+    pairs = [*decontaminate.pairs_of(parts[4][0]), *decontaminate.pairs_of(parts[4][1])]
+    spread = [w for pair in pairs for w in (*pair, *say(60))]
+    pairs_back = [w for part in parts[4] for pair in zip(part[-2::-2], part[::-2]) for w in pair]
+    planted = [say(777) + q + a + say(901) for q, a in parts]
+    docs = [*clean, (4, " ".join(spread)), (5, " ".join(pairs_back))]
+    docs += [(10 + i, " ".join(words)) for i, words in enumerate(planted)]
+    docs += [(20, " ".join(say(500)) + " " + long + " " + " ".join(say(400)))]
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    found = []
+    for items in (rows, [*rows, (99, long)]):
+        own = decontaminate.indexes(spark.createDataFrame(items, "item_id long, text string"))
+        got = decontaminate.leaks(table, own).collect()
+        found.append({(r["doc_id"], r["item_id"]): (r["begin"], r["end"]) for r in got})
+    want = {(10 + i, i) for i in range(len(parts))}
+    assert [found[0].keys(), found[1].keys()] == [want, want | {(20, 99)}]
+    for i, (q, a) in enumerate(parts):
+        n = len(q) + len(a)
+        begin, end = found[0][10 + i, i]
+        assert found[1][10 + i, i] == (begin, end)
+        assert end - begin <= 2 * n and begin <= 777 + n // 2 <= end
+
+
+def test_overlap_is_in_order():
+    pick = random.Random(9)
+    for _ in range(200):
+        part, passage = (pick.choices("abcd", k=pick.randint(1, 12)) for _ in range(2))
+        x = decontaminate.pairs_of(part)
+        y = list(zip(passage, passage[1:])) if len(part) > 1 else [(w,) for w in passage]
+        common = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, p in enumerate(x):
+            for j, q in enumerate(y):
+                common[i + 1][j + 1] = common[i][j] + 1 if p == q else max(common[i][j + 1], common[i + 1][j])
+        assert decontaminate.overlap(part, passage) == common[-1][-1] / len(x)
