@@ -4,12 +4,14 @@ The examples, a bounded sample of labelled rows, are indexed by term. Postings c
 examples, and for every term and block the index has the largest weight. A text is searched block
 by block, best bound first, until no block's bound reaches its k-th neighbour, so the k nearest are
 exact. Their votes, weighted by cosine, are put on a scale of probability by a logistic curve,
-fitted on labelled rows that are not in the index. Terms are words that tell the classes apart
-(chi-squared over the indexed examples); what all texts share says nothing about toxicity.
+fitted on labelled rows that are not in the index. All words are terms and count in the lengths of
+the vectors; a word's weight grows with how well it tells the classes apart (chi-squared over the
+indexed examples), as what all texts share says little about toxicity.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -24,7 +26,8 @@ from ringtrail.llm.quality import logistic
 from ringtrail.llm.rows import labelled_sample, share
 
 WORD = re.compile(r"\w+")
-BLOCK = 64
+#: Examples in a block, and frequent terms that are kept as whole rows instead of postings.
+BLOCK, ROWS = 64, 256
 
 
 def words_of(text: str) -> list[str]:
@@ -33,54 +36,101 @@ def words_of(text: str) -> list[str]:
 
 @dataclass
 class Index:
-    """Examples by term. `top[t, b]` is the largest weight of term t in block b, and the postings
-    of t in b are `begin[t, b]` to `begin[t, b + 1]`."""
+    """Examples by term. Of term t, `cell[t]` to `cell[t + 1]` are the blocks that have it: the block,
+    the largest weight in it, and its postings `begin[c]` to `begin[c + 1]`, by example. Terms that
+    more than an eighth of the examples have, up to `ROWS` of them, have a row of weights in `rows`,
+    by block, and of largest weights in `row_top`, instead."""
 
     terms: dict[str, int]
+    #: Of each term, and of a word that is none: idf by what it tells of the classes.
     idf: np.ndarray
+    unseen: float
     ids: list[int]
     labels: np.ndarray
-    top: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
-    begin: np.ndarray = field(default_factory=lambda: np.zeros((0, 1), np.int64))
-    example: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    cell: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    block: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    top: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    begin: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
+    example: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
     weight: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    #: Row of each term, or -1.
+    row: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    rows: np.ndarray = field(default_factory=lambda: np.zeros((0, 0, BLOCK)))
+    row_top: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
 
     def vector(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights (unit length) of a text; empty if it has none of the terms."""
-        counts = Counter(filter(self.terms.__contains__, words))
-        if not counts:
+        """Terms and weights of a text, of unit length with the words that are no terms."""
+        known, counts, others = [], [], 0.0
+        for word, n in Counter(words).items():
+            term = self.terms.get(word)
+            if term is None:
+                others += (self.unseen * (1.0 + math.log(n))) ** 2
+            else:
+                known.append(term)
+                counts.append(n)
+        if not known:
             return np.zeros(0, np.int64), np.zeros(0)
-        terms = np.array(sorted(self.terms[w] for w in counts))
-        by_term = {self.terms[w]: n for w, n in counts.items()}
-        weights = (1.0 + np.log([by_term[t] for t in terms])) * self.idf[terms]
-        return terms, weights / np.sqrt((weights**2).sum())
+        terms = np.array(known)
+        order = np.argsort(terms)
+        terms = terms[order]
+        weights = (1.0 + np.log(np.array(counts)[order])) * self.idf[terms]
+        return terms, weights / np.sqrt((weights**2).sum() + others)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
         """(cosine, example) of the k nearest, nearest first; ties go to the first example."""
-        if not len(terms) or not self.top.shape[1]:
+        blocks = -(-len(self.ids) // BLOCK)
+        if not len(terms) or not blocks:
             return []
-        # Summed term by term, as scores are: rounding cannot put a score above its bound.
-        bounds = np.cumsum(weights[:, None] * self.top[terms], axis=0)[-1]
+        row = self.row[terms]
+        own = np.zeros(len(self.row_top))
+        own[row[row >= 0]] = weights[row >= 0]
+        cells, n = ranges(self.cell[terms], self.cell[terms + 1])
+        of_term, block = np.repeat(weights, n), self.block[cells]
+        bounds = np.bincount(block, of_term * self.top[cells], blocks) + own @ self.row_top
+        # Above any rounding of the scores.
+        bounds += 1e-9 * (bounds > 0)
+        order = np.argsort(-bounds, kind="stable")
         best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            first = b * BLOCK
-            if bounds[b] <= 0 or len(best) == k and (-bounds[b], first) > best[-1]:
+        done, some = 0, 4
+        while done < blocks:
+            now = order[done : done + some]
+            now = now[bounds[now] > (0.0 if len(best) < k else -best[-1][0])]
+            if not len(now):
                 break
-            begin, end = self.begin[terms, b], self.begin[terms, b + 1]
-            n = end - begin
-            at = np.repeat(end - np.cumsum(n), n) + np.arange(n.sum())
+            place = np.full(blocks, -1)
+            place[now] = np.arange(len(now))
+            chosen = np.flatnonzero(place[block] >= 0)
+            at, n = ranges(self.begin[cells[chosen]], self.begin[cells[chosen] + 1])
+            first = (place[block[chosen]] - block[chosen]) * BLOCK
             scores = np.bincount(
-                self.example[at] - first, np.repeat(weights, n) * self.weight[at], BLOCK
+                self.example[at] + np.repeat(first, n),
+                np.repeat(of_term[chosen], n) * self.weight[at],
+                len(now) * BLOCK,
             )
-            found = np.flatnonzero(scores >= -best[-1][0] if len(best) == k else scores)
-            best += zip((-scores[found]).tolist(), (found + first).tolist(), strict=True)
+            if len(own):
+                scores = scores + np.concatenate([own @ self.rows[b] for b in now])
+            # Equal examples are level, in whatever order their terms were added.
+            scores = np.round(scores, 12)
+            least = -best[-1][0] if len(best) == k else 0.0
+            if len(scores) > k:
+                least = max(least, np.partition(scores, -k)[-k])
+            found = np.flatnonzero((scores >= least) & (scores > 0))
+            examples = now[found // BLOCK] * BLOCK + found % BLOCK
+            best += zip((-scores[found]).tolist(), examples.tolist(), strict=True)
             best = sorted(best)[:k]
+            done, some = done + some, some * 4
         return [(-s, x) for s, x in best]
 
 
-def build(examples: list[tuple[int, int, list[str]]], least: float, most_terms: int) -> Index:
-    """Index of (id, label, words). Terms have a chi-squared of `least` or more and occur in three
-    examples; the `most_terms` highest are used."""
+def ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges one after the other, and their lengths."""
+    n = end - begin
+    return np.repeat(end - np.cumsum(n), n) + np.arange(n.sum()), n
+
+
+def build(examples: list[tuple[int, int, list[str]]], power: float, most_telling: float) -> Index:
+    """Index of (id, label, words). A term's idf is multiplied by its chi-squared, taken as 1 at least
+    and `most_telling` at most, to the power of `power`."""
     labels = np.array([e[1] for e in examples], np.int64)
     n, positive = len(examples), int(labels.sum())
     with_term: Counter[str] = Counter()
@@ -90,18 +140,17 @@ def build(examples: list[tuple[int, int, list[str]]], least: float, most_terms:
         with_term.update(own)
         if label:
             toxic_with.update(own)
-    strong = []
-    for word, df in with_term.items():
-        a = toxic_with[word]
-        spread = df * (n - df) * positive * (n - positive)
-        if df >= 3 and spread:
-            chi = n * (a * (n - positive - df + a) - (df - a) * (positive - a)) ** 2 / spread
-            if chi >= least:
-                strong.append((-chi, word))
-    chosen = sorted(w for _, w in sorted(strong)[:most_terms])
+    chosen = sorted(with_term)
+    df = np.array([with_term[w] for w in chosen], float)
+    a = np.array([toxic_with[w] for w in chosen], float)
+    spread = df * (n - df) * positive * (n - positive)
+    off = a * (n - positive - df + a) - (df - a) * (positive - a)
+    chi = np.where(spread > 0, n * off**2 / np.where(spread > 0, spread, 1.0), 0.0)
+    idf = np.log((1 + n) / (1 + df)) + 1
     index = Index(
         {w: i for i, w in enumerate(chosen)},
-        np.array([np.log((1 + n) / (1 + with_term[w])) + 1 for w in chosen]),
+        idf * np.clip(chi, 1.0, most_telling) ** power,
+        float(np.log(1 + n) + 1),
         [],
         np.zeros(0, np.int64),
     )
@@ -114,16 +163,26 @@ def build(examples: list[tuple[int, int, list[str]]], least: float, most_terms:
     blocks = -(-len(vectors) // BLOCK)
     if vectors:
         term = np.concatenate([v[1] for v in vectors])
-        example = np.repeat(np.arange(len(vectors)), [len(v[1]) for v in vectors])
+        example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(v[1]) for v in vectors])
         weight = np.concatenate([v[2] for v in vectors])
+        index.row = np.full(len(chosen), -1)
+        often = np.argsort(-df, kind="stable")[:ROWS]
+        often = often[df[often] > n / 8]
+        index.row[often] = np.arange(len(often))
+        index.rows = np.zeros((blocks, len(often), BLOCK))
+        whole = index.row[term] >= 0
+        by, within = np.divmod(example[whole], BLOCK)
+        index.rows[by, index.row[term[whole]], within] = weight[whole]
+        index.row_top = index.rows.max(axis=2).T.copy()
+        term, example, weight = term[~whole], example[~whole], weight[~whole]
         order = np.lexsort((example, term))
         term, index.example, index.weight = term[order], example[order], weight[order]
         cell = term * blocks + index.example // BLOCK
-        index.top = np.zeros(len(chosen) * blocks)
-        np.maximum.at(index.top, cell, index.weight)
-        index.top = index.top.reshape(len(chosen), blocks)
-        wanted = np.arange(len(chosen))[:, None] * blocks + np.arange(blocks + 1)
-        index.begin = np.searchsorted(cell, wanted)
+        new = np.flatnonzero(np.append(len(cell) > 0, cell[1:] != cell[:-1]))
+        index.block = (cell[new] % blocks).astype(np.int32)
+        index.top = np.maximum.reduceat(index.weight, new) if len(new) else np.zeros(0)
+        index.begin = np.append(new, len(cell))
+        index.cell = np.searchsorted(cell[new] // blocks, np.arange(len(chosen) + 1))
     return index
 
 
@@ -133,7 +192,7 @@ class Model:
     k: int
     slope: float
     offset: float
-    #: Score of texts that have none of the terms.
+    #: Score of texts that share no word with the examples.
     unknown: float
 
     def judge(self, text: str) -> tuple[float, float, list[tuple[float, int]]]:
@@ -153,21 +212,25 @@ def fit(
     per_class: int = 3000,
     max_bytes: int = 1 << 15,
     k: int = 15,
-    least_chi: tuple[float, ...] = (20.0, 30.0, 45.0, 60.0, 100.0),
-    most_terms: int = 2048,
+    powers: tuple[float, ...] = (0.5, 1.0, 1.5),
+    most_telling: float = 100.0,
 ) -> Model:
     """Learn from about `per_class` labelled rows of each class with texts of at most `max_bytes`.
 
-    Two thirds are indexed, the rest fit the curve and choose among `least_chi`. That sample, 200 MB at most, is all that comes
-    to the driver. Without labelled rows every score is 0.
+    Two thirds are indexed with all their words, the rest fit the curve and choose among `powers`.
+    That sample, 200 MB at most, is all that comes to the driver. Without labelled rows every score is 0.
     """
     sample = labelled_sample(docs, labels, "toxic", learn, per_class, max_bytes)
     rows = sample.withColumn("fold", share(F.col("doc_id"), 11) < 2 / 3).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     known = [(r["doc_id"], r["label"], words_of(r["text"])) for r in rows if r["fold"]]
     held = [r for r in rows if not r["fold"]]
-    tried = [_fitted(build(known, least, most_terms), k, held) for least in least_chi]
-    return min(tried, key=lambda x: x[0])[1]
+    least, best = math.inf, None
+    for power in powers:
+        loss, model = _fitted(build(known, power, most_telling), k, held)
+        if best is None or loss < least:
+            least, best = loss, model
+    return best
 
 
 def _fitted(index: Index, k: int, held: list) -> tuple[float, Model]:
@@ -192,9 +255,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, `score` (0 to 1, higher is more toxic), `vote`, `evidence` (nearest examples: their
     id, cosine and label) of every row's whole text.
 
-    NULL and empty texts, and others with no term, have no evidence and the model's score for such.
-    Only doc_id and text are read; repeated rows stay repeated. The index (at most 2 x `per_class`
-    examples and `most_terms` terms) is broadcast.
+    NULL and empty texts, and others without any word of the examples, have no evidence and the
+    model's score for such. Only doc_id and text are read; repeated rows stay repeated. The index (at
+    most 2 x `per_class` examples, all their words) is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = "struct<doc_id: bigint, cosine: double, label: int>"

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -447,3 +448,31 @@ def test_overlap_is_in_order():
             for j, q in enumerate(y):
                 common[i + 1][j + 1] = common[i][j] + 1 if p == q else max(common[i][j + 1], common[i + 1][j])
         assert decontaminate.overlap(part, passage) == common[-1][-1] / len(x)
+
+
+def test_toxic_words_that_are_each_rare(spark):
+    pick = random.Random(8)
+    common, rare = [f"c{i}" for i in range(300)], [f"t{i}" for i in range(300)]
+
+    def text(toxic, n=20):
+        words = pick.choices(common, k=n) + pick.choices(rare, k=3 * toxic)
+        pick.shuffle(words)
+        return " ".join(words)
+
+    docs = [(i, i % 2, text(i % 2)) for i in range(1800)]
+    table = spark.createDataFrame(docs, "doc_id long, toxic int, text string")
+    model = toxicity.fit(table, table, F.lit(True))
+    held = [(toxic, model.judge(text(toxic))[0]) for toxic in (0, 1) for _ in range(150)]
+    assert sum((score >= 0.5) == bool(toxic) for toxic, score in held) / len(held) >= 0.9
+    known = {i for i in model.index.ids if i % 2}
+    often = Counter(w for i in known for w in set(docs[i][2].split()))
+    assert len(known) > 500 and max(often[w] for w in rare) < 20
+    # Every indexed example finds itself, whatever its words.
+    for i in model.index.ids[::20]:
+        cosine, _ = model.judge(docs[i][2])[2][0]
+        assert abs(cosine - 1.0) < 1e-9
+    # Words that the index lacks count in the length.
+    (short, _), (long, _) = (model.judge(docs[1][2] + more)[2][0] for more in ("", " unheard" * 30))
+    assert long < 0.99 * short
+    clean = text(0, 2000)
+    assert model.judge(clean + " " + rare[0])[0] < 0.5
