@@ -12,8 +12,11 @@ from ringtrail.llm import (
     decontaminate,
     exact_dedup,
     language,
+    packing,
+    prefix_trie,
     quality,
     simhash,
+    spelling,
     substring_dedup,
     suffix_array,
     toxicity,
@@ -151,6 +154,23 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        tokenizer = file.read()
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer, capacity=2048, end_id=0).drop("ids")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.branched_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_exact_dedup": op2_exact_dedup,
@@ -162,6 +182,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op10_suffix_array": op10_suffix_array,
     "op9_url_filter": op9_url_filter,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _OP2 = r"""
@@ -290,4 +313,104 @@ select doc_id, d.n as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_s
 from d left join k using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op10_suffix_array": _OP10, "op6_substring_dedup": _OP6, "op2_exact_dedup": _OP2, "op9_url_filter": _op9()}
+# crc32 byte by byte, with the table that its polynomial gives.
+_CRC_TABLE = """
+tab as materialized (
+  select list(list_reduce(list_prepend(i::ubigint, range(8)::ubigint[]),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::ubigint) else c >> 1 end) order by i) as t
+  from range(256) r(i))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the crc32 of a text's UTF-8; `t` is the table."""
+    digits = f"hex(encode({text}))"
+    code = f"list_transform(range(0, length({digits}), 2), lambda i: ('0x' || substr({digits}, i + 1, 2))::ubigint)"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::ubigint, {code}),"
+        " lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::bigint + 1])), 4294967295::ubigint)"
+    )
+
+
+_OP11 = rf"""
+with recursive {_CRC_TABLE},
+d as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), '{spelling.UPPER}', '{spelling.LOWER}'), '[a-z\x{{C0}}-\x{{FF}}]+')) as run
+  from documents),
+o as (select doc_id, run, count(*) as times from d group by all),
+h as (
+  select run, times, {_crc32("coalesce(doc_id::varchar, '') || ':' || run")} as h from o, tab),
+w as (
+  select case when h % 199 = 0 then substr(run, 1, (h % length(run))::int)
+    || substr(run, (h % length(run))::int + 2) else run end as word, times
+  from h),
+v as materialized (
+  select word, sum(times)::bigint as n from w where length(word) >= 6 group by word having sum(times) >= 5),
+x as materialized (
+  select word, n, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+near as (
+  select a.word, b.word as near, b.n as m from x a join x b
+    on a.i = b.i and a.head = b.head and a.tail = b.tail and a.word <> b.word union
+  select x.word, v.word, v.n from x join v on v.word = head || tail union
+  select v.word, x.word, x.n from x join v on v.word = head || tail),
+best as (
+  select word, count(*) as n_near, first(near order by m desc, near) as near, max(m) as m from near group by word),
+f as materialized (
+  select word, n, coalesce(n_near, 0) as n_near, case when m >= 5 * n then near end as form,
+    case when m >= 5 * n then m end as form_n
+  from v left join best using (word)),
+up as (
+  select word, word as root from f union
+  select up.word, f.form from up join f on f.word = up.root where f.form is not null)
+select word, f.form, up.root, f.n, f.n_near, f.form_n
+from f join up using (word) join f l on l.word = up.root where l.form is null
+"""
+
+_OP13 = f"""
+with {_CRC_TABLE},
+turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, row_number() over (
+    partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 as place
+  from conversations where conv_id is not null),
+convs as (
+  select conv_id, conv_id - conv_id % 100 as base, {_crc32("conv_id::varchar")} % 6 as h
+  from (select distinct conv_id from turns), tab),
+rebuilt as (
+  select c.conv_id, 0 as own, place, role, text from convs c join turns t on t.conv_id = c.base and place < h
+  union all
+  select conv_id, 1, place, role, text from convs join turns using (conv_id) where place >= h),
+steps as (
+  select conv_id, length(text) as size, row_number() over p as depth, count(*) over (partition by conv_id) as total,
+    sha256(role || chr(1) || text) as mark
+  from rebuilt window p as (partition by conv_id order by own, place)),
+paths as (
+  select conv_id, depth, total, size,
+    md5(string_agg(mark, '' order by depth) over (partition by conv_id order by depth)) as name,
+    md5(string_agg(mark, '' order by depth) over (partition by conv_id order by depth
+      rows between unbounded preceding and 1 preceding)) as above
+  from steps
+  union all select conv_id, 0, coalesce(total, 0), 0, 'root', null
+  from convs left join (select conv_id, any_value(total) as total from steps group by conv_id) using (conv_id)),
+named as materialized (
+  select conv_id, depth, total, size, name, case when depth = 1 then 'root' else above end as above from paths),
+nodes as materialized (
+  select depth, name, any_value(above) as above, min(conv_id) as owner, count(*) as n_convs, any_value(size) as size,
+    count(*) filter (depth = total) as n_ends,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (depth = total), '')) as ends_sha256
+  from named group by depth, name),
+under as (
+  select a.depth, a.name, sum(case when n.n_ends = n.n_convs then 1 else 0 end)::bigint as n_leaves,
+    sum((n.n_convs - 1) * n.size)::bigint as saved_tokens
+  from nodes n join named p on p.conv_id = n.owner and p.depth <= n.depth
+    join nodes a on a.depth = p.depth and a.name = p.name
+  group by a.depth, a.name),
+children as (select depth - 1 as depth, above as name, count(*) as n_children from nodes where depth > 0 group by all)
+select n.owner as conv_id, n.depth, p.owner as parent_conv_id, n.n_convs, coalesce(n_children, 0) as n_children,
+  n_leaves, saved_tokens, n.ends_sha256
+from nodes n join under u on u.depth = n.depth and u.name = n.name
+  left join nodes p on p.depth = n.depth - 1 and p.name = n.above
+  left join children c on c.depth = n.depth and c.name = n.name
+"""
+
+ORACLES: dict[str, str] = {"op11_spelling_variants": _OP11, "op13_prefix_trie": _OP13, "op10_suffix_array": _OP10, "op6_substring_dedup": _OP6, "op2_exact_dedup": _OP2, "op9_url_filter": _op9()}

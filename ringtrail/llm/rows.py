@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,11 +40,37 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(folder)
     read = spark.read.schema(df.schema).parquet(folder)
     _folders[read] = folder
+    _scratch.get().append(read)
     return read
 
 
 #: Where the tables that `staged` has returned lie, as long as they are in use.
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+#: What was staged in the block that is running; outside of any, nothing is kept account of.
+_scratch: ContextVar[list[DataFrame]] = ContextVar("scratch", default=deque(maxlen=0))
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Tables staged inside the block are deleted at its end, whether it succeeds or not.
+
+    Put what must outlive it on the list that is given; a block around this one then owns it.
+    """
+    own: list[DataFrame] = []
+    lasting: list[DataFrame] = []
+    outer = _scratch.set(own)
+    try:
+        yield lasting
+    except BaseException:
+        lasting.clear()
+        raise
+    finally:
+        _scratch.reset(outer)
+        for table in own:
+            if any(table is other for other in lasting):
+                _scratch.get().append(table)
+            elif table in _folders:
+                release(table)
 
 
 def release(table: DataFrame) -> None:
