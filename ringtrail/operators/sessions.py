@@ -5,10 +5,11 @@ carried forward over it: one sort per address, never a pair of every record with
 
 An address may hold a large share of all rows, so its time line must not end up in one task. One
 counting job finds the addresses with more than `hot_rows` rows. Only if there are any, their time
-lines are cut into slices, and each slice starts from the newest session of the slices before it
-(its seed). A slice that still holds more than `hot_rows` records, such as many copies of one
-record, is dealt out over several salts that each see the sessions of the slice. Both are exact:
-they decide where rows are processed, not what comes out.
+lines, records and sessions together, are cut into pieces of about `piece_rows` rows: Spark's range
+partitioning takes the borders from quantiles of a sample. Records that are equal in address and time
+are told apart by their place where they were read, so copies of one record are cut too. The last
+session of each piece is then carried on to the pieces after it, one row per piece. This is exact: it
+decides where rows are processed, not what comes out.
 """
 
 from __future__ import annotations
@@ -19,10 +20,9 @@ from pyspark.sql import functions as F
 from ringtrail.storage import work_folder
 
 ADDRESS = ["probe", "ip"]
-SLICE = [*ADDRESS, "slice"]
 
 HOT_ROWS = 1_000_000
-SLICE_SECONDS = 600
+PIECE_ROWS = 1_000_000
 
 
 def _preference() -> Column:
@@ -53,15 +53,15 @@ def newest_session(
     records: DataFrame,
     sessions: DataFrame,
     hot_rows: int | None = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
+    piece_rows: int = PIECE_ROWS,
     look_back_seconds: int | None = None,
 ) -> DataFrame:
     """Left outer as-of join: add `_imsi, _msisdn, _start_time` of the newest session whose probe
     and address are equal and whose start is not after the record.
 
     `records` has one row per record and address (`ip`); every one of them comes back once. The
-    counting job for hot addresses runs when this is called; `hot_rows=None` leaves it out, for
-    inputs known to be small.
+    counting job for hot addresses, and where there are any the cutting of their time lines, run when
+    this is called; `hot_rows=None` leaves both out, for inputs known to be small.
 
     A session matches however old it is, or for `look_back_seconds` if given. Sessions too old for
     the earliest record, which a further job finds, then go before anything is shuffled.
@@ -75,15 +75,16 @@ def newest_session(
         F.struct(*[F.col(name) for name in payload]).alias("record"),
     )
     hot = None if hot_rows is None else _hot_addresses(arrivals, sessions, hot_rows)
-    if hot is not None and not hot.isEmpty():
-        starts = _starts(distinct_sessions(sessions))
-        time_line = _sliced_time_line(arrivals, starts, hot, hot_rows, slice_seconds * 1_000_000)
-        line = [*SLICE, "salt"]
-    else:
-        time_line = arrivals.withColumns(
-            {"salt": _spread(F.lit(0)), "session": F.lit(None)}
-        ).unionByName(_starts(sessions).withColumns({"salt": F.lit(0), "record": F.lit(None)}))
-        line = [*ADDRESS, "salt"]
+    starts = _starts(sessions)
+    time_line = arrivals.withColumns(
+        {"piece": _spread(F.lit(-1)), "session": F.lit(None)}
+    ).unionByName(starts.withColumns({"piece": F.lit(-1), "record": F.lit(None)}))
+    if hot is not None:
+        total = hot.agg(F.sum("rows")).first()[0]
+        if total:
+            pieces = _pieces(arrivals, _starts(distinct_sessions(sessions)), hot, -(-total // piece_rows))
+            time_line = _of_addresses(time_line, hot, "left_anti").unionByName(pieces)
+    line = [*ADDRESS, "piece"]
 
     # A session that starts at the time of a record counts for it, so records come after sessions.
     # Of sessions that start together the preferred one comes last and is the one carried on.
@@ -140,7 +141,7 @@ def pick_latest(matched: DataFrame) -> DataFrame:
 
 
 def _hot_addresses(arrivals: DataFrame, sessions: DataFrame, hot_rows: int) -> DataFrame:
-    """Hashes of all addresses with more than `hot_rows` rows, as a stored table.
+    """address (a hash), rows of all addresses with more than `hot_rows` rows, as a stored table.
 
     Rows are counted on the map side first. Two addresses that share a hash are treated alike,
     which is exact either way. As a stored table its size is known, so Spark broadcasts it while it
@@ -153,11 +154,21 @@ def _hot_addresses(arrivals: DataFrame, sessions: DataFrame, hot_rows: int) -> D
         .groupBy(F.xxhash64(*ADDRESS).alias("address"))
         .agg(F.count("*").alias("rows"))
         .filter(F.col("rows") > hot_rows)
-        .select("address")
     )
-    where = work_folder(arrivals.sparkSession, "hot")
-    heaviest.write.parquet(where)
-    return arrivals.sparkSession.read.schema(heaviest.schema).parquet(where)
+    return _stored(heaviest, "hot")
+
+
+def _stored(rows: DataFrame, purpose: str) -> DataFrame:
+    where = work_folder(rows.sparkSession, purpose)
+    rows.write.parquet(where)
+    return rows.sparkSession.read.schema(rows.schema).parquet(where)
+
+
+def _of_addresses(rows: DataFrame, hot: DataFrame, how: str) -> DataFrame:
+    """Rows whose address is hot (`left_semi`) or is not (`left_anti`). Records that cannot match are
+    on no time line, whatever their address."""
+    key = F.when(F.col("probe").isNotNull() & F.col("at").isNotNull(), F.xxhash64(*ADDRESS))
+    return rows.withColumn("address", key).join(hot.select("address"), "address", how).drop("address")
 
 
 def _spread(shared: Column) -> Column:
@@ -179,76 +190,30 @@ def _starts(sessions: DataFrame) -> DataFrame:
     )
 
 
-def _sliced_time_line(
-    arrivals: DataFrame, starts: DataFrame, hot: DataFrame, hot_rows: int, width: int
-) -> DataFrame:
-    """Arrivals, sessions and seeds with their slice and salt; a cold address has a NULL slice."""
-    slice_of = F.expr(f"unix_micros(at) div {width}L")
-    known = hot.withColumn("is_hot", F.lit(True))
-
-    def sliced(rows: DataFrame) -> DataFrame:
-        marked = rows.withColumn("address", F.xxhash64(*ADDRESS)).join(known, "address", "left_outer")
-        return marked.withColumn("slice", F.when(F.col("is_hot"), slice_of)).drop("address", "is_hot")
-
-    # The turn is taken where rows are read, where a task that runs again numbers them alike.
-    sliced_arrivals = sliced(arrivals.withColumn("turn", F.monotonically_increasing_id()))
-    sliced_starts = sliced(starts)
-
-    records_in_slice = (
-        sliced_arrivals.filter(F.col("slice").isNotNull())
-        .groupBy(*SLICE)
-        .agg(F.count("*").alias("records"))
-    )
-    dense = records_in_slice.filter(F.col("records") > hot_rows).select(
-        *SLICE, F.ceil(F.col("records") / hot_rows).cast("int").alias("salts")
-    )
-    salts = F.coalesce("salts", F.lit(1))
-
-    # Copies of one record differ only in their place where they were read, so that decides.
-    dealt = sliced_arrivals.join(dense, SLICE, "left_outer").select(
-        *SLICE,
-        _spread(F.pmod("turn", salts)).alias("salt"),
-        "at",
-        "record",
-        F.lit(None).alias("session"),
-    )
-    seeds = _seeds(records_in_slice, sliced_starts)
-    shown_to_all = (
-        sliced_starts.unionByName(seeds)
-        .join(dense, SLICE, "left_outer")
-        .select(
-            *SLICE,
-            F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
-            "at",
-            F.lit(None).alias("record"),
-            "session",
-        )
-    )
-    return dealt.unionByName(shown_to_all)
-
-
-def _seeds(records_in_slice: DataFrame, sliced_starts: DataFrame) -> DataFrame:
-    """For each slice of a hot address that has records: the newest session of earlier slices.
+def _pieces(arrivals: DataFrame, starts: DataFrame, hot: DataFrame, count: int) -> DataFrame:
+    """The time lines of hot addresses in `count` pieces, each of which begins with the last session
+    of its address in earlier pieces.
 
-    The window holds at most two rows per slice of an address, so the time range bounds it.
+    Pieces are written once, as only a stored piece is the same each time it is read.
     """
-    newest_in_slice = (
-        sliced_starts.filter(F.col("slice").isNotNull())
-        .groupBy(*SLICE)
-        .agg(F.max_by("session", "at").alias("session"))
-    )
-    slices = records_in_slice.withColumn("session", F.lit(None)).unionByName(
-        newest_in_slice.withColumn("records", F.lit(None))
-    )
-    before = (
-        Window.partitionBy(*ADDRESS)
-        .orderBy("slice")
-        .rangeBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        slices.withColumn("earlier", F.last("session", ignorenulls=True).over(before))
-        .filter((F.col("records") > 0) & F.col("earlier").isNotNull())
-        .select(
-            *SLICE, F.col("earlier._start_time").alias("at"), F.col("earlier").alias("session")
-        )
-    )
+    rows = arrivals.withColumns(
+        {"turn": F.monotonically_increasing_id(), "session": F.lit(None)}
+    ).unionByName(starts.withColumns({"turn": F.lit(-1), "record": F.lit(None)}))
+    # Sessions have no turn, so they come before the records of the same time.
+    cut = (
+        _of_addresses(rows, hot, "left_semi")
+        .repartitionByRange(count, *ADDRESS, "at", "turn")
+        .drop("turn")
+        .withColumn("piece", F.spark_partition_id())
+    )
+    cut = _stored(cut, "pieces")
+    last = cut.groupBy(*ADDRESS, "piece").agg(F.max_by("session", F.when(F.col("session").isNotNull(), F.col("at"))).alias("last"))
+    # One row per address and piece: an address has no more of them than it has pieces.
+    before = Window.partitionBy(*ADDRESS).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.withColumn("session", F.last("last", ignorenulls=True).over(before)).filter(
+        F.col("session").isNotNull()
+    )
+    seeds = carried.select(
+        *ADDRESS, "piece", F.col("session._start_time").alias("at"), "session", F.lit(None).alias("record")
+    )
+    return cut.unionByName(seeds)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 from ringtrail import storage
 from ringtrail.operators.parse import add_event_time, add_partition_columns, parse_cdr
-from ringtrail.operators.sessions import HOT_ROWS, SLICE_SECONDS
+from ringtrail.operators.sessions import HOT_ROWS, PIECE_ROWS
 from ringtrail.plans.enrich import enrich
 from ringtrail.schema import CDR_FIELDS
 
@@ -45,7 +45,7 @@ def enrich_feed(
     fields: Sequence[tuple[str, str]] = CDR_FIELDS,
     epoch_unit: str | None = None,
     hot_rows: int | None = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
+    piece_rows: int = PIECE_ROWS,
     work: str | None = None,
     look_back_seconds: int | None = None,
 ) -> DataFrame:
@@ -53,7 +53,8 @@ def enrich_feed(
 
     The payloads are read and split once, and the session dictionary is read once, so the counting
     job and the join see the same sessions. Both are staged in `work`, a folder that all executors
-    share and that may be removed once the result is written; by default it is a new one.
+    share and that may be removed once the result is written; by default it is a new work folder,
+    which goes at the end of the `storage.scratch` block that this is called and written in.
     """
     work = work or storage.work_folder(feed.sparkSession, "enrich")
     return enrich(
@@ -61,6 +62,6 @@ def enrich_feed(
         subscribers,
         staged(sessions, f"{work}/sessions"),
         hot_rows,
-        slice_seconds,
+        piece_rows,
         look_back_seconds,
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ringtrail.operators.addresses import explode_addresses
-from ringtrail.operators.sessions import HOT_ROWS, SLICE_SECONDS, newest_session, pick_latest
+from ringtrail.operators.sessions import HOT_ROWS, PIECE_ROWS, newest_session, pick_latest
 from ringtrail.operators.subscribers import identified, join_subscribers, unidentified
 
 
@@ -23,7 +23,7 @@ def enrich_by_ip(
     cdr: DataFrame,
     sessions: DataFrame,
     hot_rows: int | None = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
+    piece_rows: int = PIECE_ROWS,
     look_back_seconds: int | None = None,
 ) -> DataFrame:
     """Records without a usable IMSI, one per `unique_cdr_id`, with the subscriber of the newest
@@ -33,7 +33,7 @@ def enrich_by_ip(
     the join, so stage a source that may change in between.
     """
     per_address = explode_addresses(unidentified(cdr), "ip")
-    matched = newest_session(per_address, sessions, hot_rows, slice_seconds, look_back_seconds)
+    matched = newest_session(per_address, sessions, hot_rows, piece_rows, look_back_seconds)
     return (
         pick_latest(matched)
         .withColumn("msisdn", F.coalesce("_msisdn", "msisdn"))
@@ -47,10 +47,10 @@ def enrich(
     subscribers: DataFrame,
     sessions: DataFrame,
     hot_rows: int | None = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
+    piece_rows: int = PIECE_ROWS,
     look_back_seconds: int | None = None,
 ) -> DataFrame:
     """Both kinds of records in one table with the columns of `cdr`."""
     return enrich_by_imsi(cdr, subscribers).unionByName(
-        enrich_by_ip(cdr, sessions, hot_rows, slice_seconds, look_back_seconds)
+        enrich_by_ip(cdr, sessions, hot_rows, piece_rows, look_back_seconds)
     )

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from itertools import batched
 
 from pyspark.sql import SparkSession
@@ -13,20 +15,75 @@ from pyspark.sql import SparkSession
 REQUESTS, NAMES = 32, 10_000
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder that every executor reaches, below `spark.checkpoint.dir`.
+class Scratch:
+    """Work folders made in a `scratch` block."""
+
+    def __init__(self) -> None:
+        self.folders: list[str] = []
+        self._kept: set[str] = set()
+
+    def keep(self, *folders: str) -> None:
+        """Leave these to the block around this one, or without one until the driver's JVM ends."""
+        self._kept.update(folders)
+
+    def _close(self, spark: SparkSession, outer: Scratch | None) -> None:
+        for folder in self.folders:
+            if folder not in self._kept:
+                remove(spark, folder)
+            elif outer is not None:
+                outer.folders.append(folder)
+        shared = _application_folder(spark)
+        if exists(spark, shared) and not children(spark, shared):
+            remove(spark, shared)
+
 
-    Without that setting it lies below the warehouse, which executors share as well, and goes when
-    the driver's JVM ends.
+_scratch: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Delete the work folders made inside the block at its end, whether it succeeds or not.
+
+    Whatever is computed from them must be written inside the block. Work folders made outside of any
+    block stay until the driver's JVM ends.
     """
+    own, outer = Scratch(), _scratch.get()
+    token = _scratch.set(own)
+    try:
+        yield own
+    except BaseException:
+        own._kept.clear()
+        raise
+    finally:
+        _scratch.reset(token)
+        own._close(spark, outer)
+
+
+def _application_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    name = f"ringtrail-{purpose}-{uuid.uuid4().hex}"
-    if shared:
-        return f"{shared.rstrip('/')}/{name}"
-    location = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work/{name}"
-    path = _path(spark, location)
-    _file_system(spark, path).deleteOnExit(path)
-    return location
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    return f"{shared.rstrip('/')}/ringtrail-{spark.sparkContext.applicationId}"
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """Name of a new folder that every executor reaches, below `spark.checkpoint.dir`.
+
+    Only with a local master may that setting be missing; it then lies below the warehouse. See
+    `scratch` for when it goes.
+    """
+    shared = _application_folder(spark)
+    path = _path(spark, shared)
+    files = _file_system(spark, path)
+    if not files.exists(path):
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    folder = f"{shared}/{purpose}-{uuid.uuid4().hex}"
+    if (own := _scratch.get()) is not None:
+        own.folders.append(folder)
+    return folder
 
 
 def _path(spark: SparkSession, location: str):

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ringtrail import storage
 from ringtrail.operators.addresses import explode_addresses
 from ringtrail.operators.pruning import only_wanted
-from ringtrail.operators.sessions import HOT_ROWS, SLICE_SECONDS
+from ringtrail.operators.sessions import HOT_ROWS, PIECE_ROWS
 from ringtrail.operators.subscribers import identified, unidentified
 from ringtrail.plans.batch import records_of
 from ringtrail.plans.enrich import enrich
@@ -51,7 +51,7 @@ def start_enrichment(
     fields: Sequence[tuple[str, str]] = CDR_FIELDS,
     epoch_unit: str | None = None,
     hot_rows: int | None = HOT_ROWS,
-    slice_seconds: int = SLICE_SECONDS,
+    piece_rows: int = PIECE_ROWS,
     format: str = "parquet",
     look_back_seconds: int | None = None,
 ) -> StreamingQuery:
@@ -72,13 +72,14 @@ def start_enrichment(
         # Both branches and the counting job read the batch; it is fetched and parsed once.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            result = batch
-            if not batch.isEmpty():
-                known = only_wanted(known, ["_imsi"], identified(batch), ["imsi"])
-                per_address = explode_addresses(unidentified(batch), "ip")
-                seen = only_wanted(seen, ["_probe", "_ip"], per_address, ["probe", "ip"])
-                result = enrich(batch, known, seen, hot_rows, slice_seconds, look_back_seconds)
-            write_batch(result, landing, first + batch_id, format)
+            with storage.scratch(batch.sparkSession):
+                result = batch
+                if not batch.isEmpty():
+                    known = only_wanted(known, ["_imsi"], identified(batch), ["imsi"])
+                    per_address = explode_addresses(unidentified(batch), "ip")
+                    seen = only_wanted(seen, ["_probe", "_ip"], per_address, ["probe", "ip"])
+                    result = enrich(batch, known, seen, hot_rows, piece_rows, look_back_seconds)
+                write_batch(result, landing, first + batch_id, format)
         finally:
             batch.unpersist()
 

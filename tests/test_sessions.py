@@ -95,10 +95,10 @@ some_sessions = st.lists(
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-@given(some_records, some_sessions, st.sampled_from([None, 1, 3, 1_000_000]), st.sampled_from([1, 7, 600]))
-def test_same_as_range_join(spark, cdr, sessions, hot_rows, slice_seconds):
+@given(some_records, some_sessions, st.sampled_from([None, 1, 3, 1_000_000]), st.sampled_from([2, 7, 600]))
+def test_same_as_range_join(spark, cdr, sessions, hot_rows, piece_rows):
     cdr, sessions = records(spark, cdr), starts(spark, sessions)
-    got = enrich_by_ip(cdr, sessions, hot_rows, slice_seconds)
+    got = enrich_by_ip(cdr, sessions, hot_rows, piece_rows)
     assert rows(got) == rows(range_join(cdr, sessions))
 
 
@@ -148,10 +148,11 @@ def test_distinct_sessions(spark):
     assert got == [(3, 8)]
 
 
+@pytest.mark.parametrize("every_session", [10, 1])
 @pytest.mark.parametrize("spread", ["copies", "times"])
-def test_hot_address_is_split(spark, spread):
-    """A third of the rows on one address: no group of the time line may hold much of it, whether
-    its records are spread over time or all alike."""
+def test_hot_address_is_split(spark, spread, every_session):
+    """A third of the records and sessions on one address: no group of the time line may hold much of
+    it, whether its records are spread over time or all alike, and however many sessions it has."""
     n, hot_rows = 30_000, 500
     ids = spark.range(n, numPartitions=24)
     hot = (F.pmod("id", F.lit(3)) == 0) & F.lit(True)
@@ -166,21 +167,26 @@ def test_hot_address_is_split(spark, spread):
         F.lit("2023-11-14").alias("event_date"),
         F.lit("P").alias("probe"),
     )
-    sessions = ids.filter("id % 10 = 0").select(
+    sessions = ids.filter(F.col("id") % every_session == 0).select(
         F.lit("P").alias("_probe"),
         F.col("id").alias("_imsi"),
         F.lit(1).cast("long").alias("_msisdn"),
-        F.timestamp_seconds(F.col("id") + 1_700_000_000).alias("_start_time"),
+        # All within ten minutes.
+        F.timestamp_seconds(F.col("id") / 50 + 1_700_000_000).alias("_start_time"),
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("a"), F.col("id") % 997)).alias("_ip"),
     )
     per_address = cdr.withColumn("ip", F.col("ms_ip_address"))
     arrivals = per_address.select("probe", "ip", F.col("start_time").alias("at"), F.struct("unique_cdr_id").alias("record"))
     found = ops._hot_addresses(arrivals, sessions, hot_rows)
     assert found.count() == 1
-    line = ops._sliced_time_line(arrivals, ops._starts(distinct_sessions(sessions)), found, hot_rows, 600_000_000)
-    largest = line.groupBy("probe", "ip", "slice", "salt").count().agg(F.max("count")).first()[0]
+    starts = ops._starts(distinct_sessions(sessions))
+    total = found.first()["rows"]
+    line = ops._pieces(arrivals, starts, found, -(-total // hot_rows)).cache()
+    largest = line.groupBy("probe", "ip", "piece").count().agg(F.max("count")).first()[0]
     assert largest < 4 * hot_rows
-    got = newest_session(per_address, sessions, hot_rows, 600).select("unique_cdr_id", "_imsi")
+    assert total <= line.count() < 1.2 * total
+    line.unpersist()
+    got = newest_session(per_address, sessions, hot_rows, hot_rows).select("unique_cdr_id", "_imsi")
     whole = newest_session(per_address, sessions, None).select("unique_cdr_id", "_imsi")
     assert got.count() == n
     assert got.exceptAll(whole).isEmpty() and whole.exceptAll(got).isEmpty()

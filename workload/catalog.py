@@ -121,7 +121,7 @@ def enrich_by_ip_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way hot addresses go, taken by every address with more than one row."""
     return plain(
         enrich.enrich_by_ip(
-            cdr_table(spark, sf_dir), sessions_table(spark, sf_dir), hot_rows=1, slice_seconds=3600
+            cdr_table(spark, sf_dir), sessions_table(spark, sf_dir), hot_rows=1, piece_rows=20_000
         )
     )
 
