@@ -3,18 +3,23 @@
 `compact_copy` keeps the source and may be run again at any time. `compact_move` adds to the target
 and then deletes the source files it has read; a move that was cut short is finished by the next.
 Plain files have no transactions: a reader of the target may see a publish half done.
+
+Files of one table may differ in their columns, and in the types of these: columns are widened to
+what holds them all. A directory with a column that has no such type is left as it is and reported,
+and the others are compacted.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator, Sequence
-from functools import reduce
 from contextlib import contextmanager
+from dataclasses import dataclass
+from functools import reduce
 from itertools import batched
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,7 +28,8 @@ from ringtrail import storage
 from ringtrail.functions.sizing import MERGE_FROM_FILES, TARGET_BYTES, file_count
 from ringtrail.schema import PARTITION_COLUMNS
 from ringtrail.sinks.tables import without_success_marker
-from ringtrail.sources.tables import directory_sizes, read_table, table_files
+from ringtrail.sources import schemas
+from ringtrail.sources.tables import directory_sizes, file_groups, read_table, table_files
 
 # Large directories merged by one job.
 DIRECTORIES_PER_JOB = 128
@@ -67,21 +73,23 @@ def repack(rows: DataFrame, plan: DataFrame, tasks: int) -> DataFrame:
     )
 
 
-def without_directories(rows: DataFrame, left_out: Sequence[Row]) -> DataFrame:
-    """Leave directories out at the listing: a set of partition values, so their files are not
-    opened however many they are."""
-    if not left_out:
-        return rows
+def _same_directory(rows: DataFrame, plan: DataFrame) -> Column:
+    # Equality on values that are never NULL is what Spark prunes partitions by at run time. A
+    # control character stands for NULL; day and probe hold none.
+    equal = [
+        F.coalesce(rows[c], F.lit("\x02")) == F.coalesce(plan[c], F.lit("\x02"))
+        for c in PARTITION_COLUMNS
+    ]
+    return reduce(Column.__and__, equal)
 
-    def name(values: Sequence[Column]) -> Column:
-        # Control characters set the values apart; day and probe hold none.
-        return F.concat_ws("\x01", *[F.coalesce(value, F.lit("\x02")) for value in values])
 
-    names = [
-        "\x01".join("\x02" if entry[c] is None else entry[c] for c in PARTITION_COLUMNS)
-        for entry in left_out
-    ]
-    return rows.filter(~name([F.col(c) for c in PARTITION_COLUMNS]).isin(names))
+def only_directories(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Rows of the plan's directories; files of other directories are not opened.
+
+    The plan has a row per directory and no hint. While it is small Spark broadcasts it, and scans
+    only the partitions it names; nothing of it comes to the driver.
+    """
+    return rows.join(plan.select(*PARTITION_COLUMNS), _same_directory(rows, plan), "left_semi")
 
 
 def merge_directories(rows: DataFrame, plan: Sequence[Row]) -> DataFrame:
@@ -118,19 +126,24 @@ def compact_copy(
     up_to_batch: int | None = None,
     schema: StructType | None = None,
     format: str = "parquet",
-) -> None:
+) -> list[LeftOut]:
     """Replace directories of the target by compacted copies of those of the source.
 
-    The schema is taken from the files if none is given, which costs one more listing.
+    The schema is taken from the files if none is given, which costs one more listing. Directories
+    that could not be read with the others are returned.
     """
     _require_apart(roots, target)
-    scans = _snapshot(spark, roots, up_to_batch, schema, format)
-    if not scans:
-        return
-    rows = _together(scans)
-    for part in _rewritten(spark, rows, roots, target_bytes, merge_from, up_to_batch):
-        _write(part, target, "overwrite", format)
-    _require_whole(rows, read_table(spark, target, rows.schema, format=format))
+    with storage.scratch(spark):
+        scans, left_out = _snapshot(spark, roots, up_to_batch, schema, format)
+        if not scans:
+            return left_out
+        plan = _planned(spark, roots, target_bytes, up_to_batch, left_out)
+        rows = _together([_readable(scan, left_out) for scan in scans])
+        for part in _rewritten(rows, plan, merge_from):
+            _write(part, target, "overwrite", format)
+        written = read_table(spark, target, rows.schema, format=format)
+        _require_whole(rows, _readable(written, left_out))
+    return left_out
 
 
 def compact_move(
@@ -143,10 +156,12 @@ def compact_move(
     schema: StructType | None = None,
     format: str = "parquet",
     break_lock: bool = False,
-) -> None:
+) -> list[LeftOut]:
     """Add compacted source rows to the target, then delete exactly the files they came from.
 
-    Files that arrive meanwhile stay. Rows are staged and counted, and the list of source files is
+    Files that arrive meanwhile stay. Folders of committed batches (`up_to_batch`) get no more files
+    and are deleted as a whole. Directories that could not be read with the others stay and are
+    returned. Rows are staged and counted, and the list of source files is
     written, before anything is published, so a move can be finished after a crash. All columns of
     all source files are kept; a `schema` that leaves one out is refused.
 
@@ -155,7 +170,7 @@ def compact_move(
     """
     _require_apart(roots, target)
     with _held(spark, target, break_lock):
-        _move(spark, roots, target, target_bytes, merge_from, up_to_batch, schema, format)
+        return _move(spark, roots, target, target_bytes, merge_from, up_to_batch, schema, format)
 
 
 def finish_moves(spark: SparkSession, target: str, break_lock: bool = False) -> None:
@@ -164,6 +179,17 @@ def finish_moves(spark: SparkSession, target: str, break_lock: bool = False) ->
         _finish(spark, target)
 
 
+@dataclass(frozen=True)
+class LeftOut:
+    """A directory that was not compacted, and the column whose types have none in common."""
+
+    event_date: str | None
+    probe: str | None
+    column: str
+    found: str
+    wanted: str
+
+
 @contextmanager
 def _held(spark: SparkSession, target: str, break_lock: bool) -> Iterator[None]:
     lock = f"{target.rstrip('/')}/{LOCK}"
@@ -193,24 +219,38 @@ def _move(
     up_to_batch: int | None,
     schema: StructType | None,
     format: str,
-) -> None:
+) -> list[LeftOut]:
     _finish(spark, target)
-    scans = _snapshot(spark, roots, up_to_batch, schema, format)
-    if not scans:
-        return
-    if schema is not None:
-        for root in roots:
-            _require_columns(spark, root, schema, up_to_batch, format)
-    rows = _together(scans)
-    move = f"{target.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
-    for part in _rewritten(spark, rows, roots, target_bytes, merge_from, up_to_batch):
-        _write(part, f"{move}/rows", "append", format)
-    _require_whole(rows, read_table(spark, f"{move}/rows", rows.schema, format=format))
-    _require_columns(spark, f"{move}/rows", rows.schema, None, format, exactly=True)
-    paths = [scan.select("_metadata.file_path").distinct() for scan in scans]
-    reduce(DataFrame.unionByName, paths).write.text(f"{move}/sources")
-    storage.create(spark, f"{move}/{COMPLETE}", "")
+    with storage.scratch(spark):
+        scans, left_out = _snapshot(spark, roots, up_to_batch, schema, format)
+        if not scans:
+            return left_out
+        if schema is not None:
+            for root in roots:
+                _require_columns(spark, root, schema, up_to_batch, format)
+        plan = _planned(spark, roots, target_bytes, up_to_batch, left_out)
+        rows = _together([_readable(scan, left_out) for scan in scans])
+        move = f"{target.rstrip('/')}/{STAGING}/{uuid.uuid4().hex}"
+        for part in _rewritten(rows, plan, merge_from):
+            _write(part, f"{move}/rows", "append", format)
+        _require_whole(rows, read_table(spark, f"{move}/rows", rows.schema, format=format))
+        _require_columns(spark, f"{move}/rows", rows.schema, None, format, exactly=True)
+        paths = [_readable(scan, left_out).select("_metadata.file_path") for scan in scans]
+        read = reduce(DataFrame.unionByName, paths).distinct()
+        # A batch that has left a directory behind must keep it.
+        sources = _batch_folders(read) if up_to_batch is not None and not left_out else read
+        sources.write.text(f"{move}/sources")
+        storage.create(spark, f"{move}/{COMPLETE}", "")
     _finish(spark, target)
+    return left_out
+
+
+def _batch_folders(files: DataFrame) -> DataFrame:
+    """The folders `batch_id=N/` that the files of a landing lie in, by their encoded names."""
+    inside = "/".join(["", *[f"{name}=[^/]*" for name in PARTITION_COLUMNS], "[^/]*$"])
+    return files.select(
+        F.regexp_extract("file_path", f"^(.*/batch_id=[0-9]+/){inside[1:]}", 1).alias("file_path")
+    ).distinct()
 
 
 def _finish(spark: SparkSession, target: str) -> None:
@@ -221,7 +261,9 @@ def _finish(spark: SparkSession, target: str) -> None:
         if storage.exists(spark, f"{move}/{COMPLETE}"):
             storage.move_files(spark, f"{move}/rows", target)
             sources = spark.read.text(f"{move}/sources")
-            storage.remove_files(spark, (row["value"] for row in sources.toLocalIterator()))
+            folders, files = sources.filter("value like '%/'"), sources.filter("value not like '%/'")
+            storage.remove_folders(spark, (row["value"] for row in folders.toLocalIterator()))
+            storage.remove_files(spark, (row["value"] for row in files.toLocalIterator()))
         storage.remove(spark, move)
 
 
@@ -239,12 +281,10 @@ def _require_columns(
     exactly: bool = False,
 ) -> None:
     """Refuse a schema that lacks a column that the files below `root` have."""
-    try:
-        stored = set(read_table(spark, root, None, up_to_batch, format).columns)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
+    groups = file_groups(spark, root, up_to_batch, format)
+    if not groups:
         return
+    stored = {*PARTITION_COLUMNS, *(name for group in groups for name in group.schema.names)}
     wanted = set(schema.names) | set(PARTITION_COLUMNS)
     wrong = (stored - wanted) | ((wanted - stored) if exactly else set())
     if wrong:
@@ -266,47 +306,91 @@ def _snapshot(
     up_to_batch: int | None,
     schema: StructType | None,
     format: str,
-) -> list[DataFrame]:
-    """One scan per root that has files. Its file list is fixed here, whatever arrives later."""
-    scans = []
-    for root in roots:
-        try:
-            scans.append(read_table(spark, root, schema, up_to_batch, format))
-        except AnalysisException as error:
-            if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
-    return scans
-
-
-def _rewritten(
+) -> tuple[list[DataFrame], list[LeftOut]]:
+    """One scan per root that has files, and the directories that none of them must read. The file
+    list of a scan is fixed here, whatever arrives later."""
+    by_root = {root: file_groups(spark, root, up_to_batch, format) for root in roots}
+    left_out: list[LeftOut] = []
+    if schema is None:
+        schema, misfits = schemas.common([g for groups in by_root.values() for g in groups])
+        if misfits:
+            schema, misfits = schemas.common(
+                [_with_names(spark, root, g, up_to_batch) for root in roots for g in by_root[root]]
+            )
+            left_out = sorted({d for misfit in misfits for d in _directories(misfit)}, key=repr)
+    return [
+        read_table(spark, root, schema, up_to_batch, format) for root in roots if by_root[root]
+    ], left_out
+
+
+def _with_names(
+    spark: SparkSession, root: str, group: schemas.Group, up_to_batch: int | None
+) -> schemas.Group:
+    """The group with the names of its files, where it stands for all of a root."""
+    if not any("*" in name for name in group.files):
+        return group
+    paths = table_files(spark, root, up_to_batch).select("path").toLocalIterator()
+    return schemas.Group(group.schema, tuple(row["path"] for row in paths))
+
+
+def _directories(misfit: schemas.Misfit) -> set[LeftOut]:
+    """The directories that hold a misfit's files."""
+
+    def value(part: str) -> str | None:
+        # Fixed value: Hive's name for NULL.
+        name = part.partition("=")[2]
+        return None if name == "__HIVE_DEFAULT_PARTITION__" else unquote(name)
+
+    depth = len(PARTITION_COLUMNS)
+    folders = {tuple(file.split("/")[-depth - 1 : -1]) for file in misfit.files}
+    return {LeftOut(*map(value, f), misfit.column, misfit.found, misfit.wanted) for f in folders}
+
+
+def _planned(
     spark: SparkSession,
-    rows: DataFrame,
     roots: Sequence[str],
     target_bytes: int,
-    merge_from: int,
     up_to_batch: int | None,
-) -> Iterator[DataFrame]:
-    """All rows in the wanted number of tasks: one shuffle for the directories with few files, and
-    unshuffled merges, several directories to a job, for those with `merge_from` files or more.
+    left_out: Sequence[LeftOut],
+) -> DataFrame:
+    """Directories to rewrite and how many files each should have.
 
-    The plan lists after the snapshot, so it has every directory of the snapshot. It is written
-    once: it is read several times, and its size then tells Spark whether it can be broadcast.
+    It lists after the snapshot, so it has every directory of the snapshot. It is written once: it is
+    read several times, and its size then tells Spark whether it can be broadcast.
     """
+    sizes = _readable(inventory(spark, roots, up_to_batch), left_out)
     where = storage.work_folder(spark, "plan")
-    plan_files(inventory(spark, roots, up_to_batch), target_bytes).write.mode("overwrite").parquet(
-        where
-    )
-    plan = spark.read.parquet(where)
-    small = plan.filter(F.col("n_out") < merge_from)
+    plan = plan_files(sizes, target_bytes)
+    plan.write.parquet(where)
+    return spark.read.schema(plan.schema).parquet(where)
+
+
+def _readable(rows: DataFrame, left_out: Sequence[LeftOut]) -> DataFrame:
+    """Rows of directories that are not left out. Files of the others would stop the scan, so they are
+    taken from its listing by a filter on partition columns alone."""
+    if not left_out:
+        return rows
+
+    def name(values: Sequence[Column]) -> Column:
+        # Control characters set the values apart; day and probe hold none.
+        return F.concat_ws("\x01", *[F.coalesce(value, F.lit("\x02")) for value in values])
+
+    own = [
+        "\x01".join("\x02" if value is None else value for value in (d.event_date, d.probe))
+        for d in left_out
+    ]
+    return rows.filter(~name([F.col(c) for c in PARTITION_COLUMNS]).isin(own))
+
+
+def _rewritten(rows: DataFrame, plan: DataFrame, merge_from: int) -> Iterator[DataFrame]:
+    """All rows in the wanted number of tasks: one shuffle for the directories with few files, and
+    unshuffled merges, several directories to a job, for those with `merge_from` files or more."""
+    small, large = plan.filter(F.col("n_out") < merge_from), plan.filter(F.col("n_out") >= merge_from)
     wanted = small.agg(F.sum("n_out")).first()[0]
-    large = plan.filter(F.col("n_out") >= merge_from).collect()
-    try:
-        if wanted:
-            yield repack(without_directories(rows, large), small, wanted)
-        for directories in batched(large, DIRECTORIES_PER_JOB):
-            yield merge_directories(rows, directories)
-    finally:
-        storage.remove(spark, where)
+    if wanted:
+        yield repack(only_directories(rows, small), small, wanted)
+    for directories in batched(large.toLocalIterator(), DIRECTORIES_PER_JOB):
+        yield merge_directories(rows, directories)
 
 
 def _write(rows: DataFrame, path: str, mode: str, format: str) -> None:

@@ -6,12 +6,15 @@ A landing table has one more level, `batch_id`, above the day. Pass the last com
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ringtrail.schema import PARTITION_COLUMNS
+from ringtrail.sources import schemas
 
 # Directories of other names are left alone.
 DIRECTORIES = "/".join(f"{name}=*" for name in PARTITION_COLUMNS)
@@ -71,6 +74,31 @@ def read_table(
     return _load(spark, root, format, schema, up_to_batch).drop("batch_id")
 
 
+def file_groups(
+    spark: SparkSession, root: str, up_to_batch: int | None = None, format: str = "parquet"
+) -> list[schemas.Group]:
+    """The files of a table by schema (without partition columns); files are named only where one
+    schema does not do for all. A table without files has no groups."""
+    levels = DIRECTORIES if up_to_batch is None else f"batch_id=*/{DIRECTORIES}"
+    partitions = {*PARTITION_COLUMNS, "batch_id"}
+
+    def merged(paths: Sequence[str]) -> T.StructType:
+        reader = spark.read.format(format).option("basePath", root).option("mergeSchema", "true")
+        own = [f for f in reader.load(list(paths)).schema if f.name not in partitions]
+        return T.StructType(own)
+
+    whole = f"{root.rstrip('/')}/{levels}"
+    try:
+        return [schemas.Group(merged([whole]), (whole,))]
+    except schemas.Unreadable as error:
+        if schemas.condition(error) in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return []
+        if not schemas.cannot_merge(error):
+            raise
+    paths = [r["path"] for r in table_files(spark, root, up_to_batch).select("path").collect()]
+    return schemas.groups(sorted(paths), merged)
+
+
 def table_files(spark: SparkSession, root: str, up_to_batch: int | None = None) -> DataFrame:
     """`path, length, event_date, probe` of each file, from listing alone: no file is opened."""
     try:

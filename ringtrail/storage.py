@@ -157,6 +157,17 @@ def remove_files(spark: SparkSession, locations: Iterable[str]) -> None:
             folder = folder.rpartition("/")[0]
 
 
+def remove_folders(spark: SparkSession, locations: Iterable[str]) -> None:
+    """Delete folders named by encoded URIs with all that is in them, one request each."""
+    jvm = spark.sparkContext._jvm
+
+    def delete(location: str) -> None:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(location))
+        _file_system(spark, path).delete(path, True)
+
+    _each(delete, locations)
+
+
 def move_files(spark: SparkSession, source: str, target: str) -> None:
     """Rename what is below `source` to the same relative place below `target`: a folder that the
     target lacks as a whole, the content of others one by one. May be run again after a crash."""

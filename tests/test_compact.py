@@ -234,22 +234,110 @@ def test_second_mover_is_turned_away(spark, tmp_path, monkeypatch):
     assert rows(read_table(spark, target)) == before
 
 
-def test_shuffle_does_not_list_large_directories(spark, tmp_path):
+def test_large_directories_are_pruned_when_the_shuffle_runs(spark, tmp_path):
     source = str(tmp_path / "source")
     write_partitioned(scattered(spark), source, rebalance=False)
     table = read_table(spark, source)
-    plan = compact.plan_files(compact.inventory(spark, [source]), 20_000)
-    large = plan.filter("n_out >= 3").collect()
-    assert large
-    small = compact.without_directories(table, large)
-    text = small._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [NOT" in text and "\nFilter" not in text
-    kept = {(r.event_date, r.probe) for r in small.select("event_date", "probe").distinct().collect()}
-    assert kept == {(r.event_date, r.probe) for r in plan.filter("n_out < 3").collect()}
-    rows_read = compact.repack(small, plan.filter("n_out < 3"), 4)
-    assert "PartitionFilters: [NOT" in rows_read._jdf.queryExecution().executedPlan().toString()
-    only_null = compact.without_directories(table, [r for r in plan.collect() if r.probe is None])
-    assert only_null.filter("probe is null").isEmpty() and not only_null.isEmpty()
+    compact.plan_files(compact.inventory(spark, [source]), 20_000).write.parquet(str(tmp_path / "plan"))
+    plan = spark.read.parquet(str(tmp_path / "plan"))
+    assert not plan.filter("n_out >= 3").isEmpty()
+    small = plan.filter("n_out < 3")
+    kept = compact.repack(compact.only_directories(table, small), small, 4)
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text and " INSET " not in text and "IN (" not in text
+    want = {(r.event_date, r.probe) for r in small.collect()}
+    assert {(r.event_date, r.probe) for r in kept.select("event_date", "probe").distinct().collect()} == want
+    scanned = compact.only_directories(table, small)
+    scanned.collect()
+    files = {r[0] for r in scanned.select("_metadata.file_path").distinct().collect()}
+    assert len(files) < len(data_files(source))
+    only_null = compact.only_directories(table, plan.filter("n_out >= 1 and probe is null"))
+    assert only_null.filter("probe is not null").isEmpty() and not only_null.isEmpty()
+
+
+def typed(spark, root, day, values, kind, probe="01"):
+    rows = spark.createDataFrame([(v,) for v in values], "n long").select(
+        F.col("n").cast(kind).alias("n"), F.lit(day).alias("event_date"), F.lit(probe).cast("string").alias("probe")
+    )
+    write_partitioned(rows, root)
+
+
+def test_int_and_long_days_are_moved_together(spark, tmp_path):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    typed(spark, source, "2024-01-01", range(10), "int")
+    typed(spark, source, "2024-01-02", range(10, 20), "long")
+    typed(spark, source, "2024-01-03", range(20, 24), "byte")
+    assert compact.compact_move(spark, [source], target) == []
+    got = read_table(spark, target)
+    assert got.schema["n"].dataType.simpleString() == "bigint"
+    assert sorted(r.n for r in got.collect()) == list(range(24))
+    assert not data_files(source)
+
+
+@pytest.mark.parametrize("landing", [False, True])
+def test_directory_without_a_common_type_stays_and_is_reported(spark, tmp_path, landing):
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    place = f"{source}/batch_id=0" if landing else source
+    typed(spark, place, "2024-01-01", range(10), "long")
+    typed(spark, place, "2024-01-02", range(10), "int")
+    typed(spark, place, "2024-01-02", range(5), "long", None)
+    typed(spark, place, "2024-01-03", range(7), "string", None)
+    typed(spark, place, "2024-01-03", range(3), "long")
+    up_to = 0 if landing else None
+    want = [compact.LeftOut("2024-01-03", None, "n", "string", "bigint")]
+    copied = str(tmp_path / "copied")
+    assert compact.compact_copy(spark, [source], copied, up_to_batch=up_to) == want
+    assert compact.compact_move(spark, [source], target, up_to_batch=up_to) == want
+    for moved in (copied, target):
+        days = read_table(spark, moved).groupBy("event_date", "probe").count()
+        assert rows(days) == rows(spark.createDataFrame(
+            [("2024-01-01", "01", 10), ("2024-01-02", "01", 10), ("2024-01-02", None, 5), ("2024-01-03", "01", 3)],
+            "event_date string, probe string, count long",
+        ))
+    left = spark.read.parquet(f"{place}/event_date=*/probe=*")
+    assert left.count() == 7 and left.schema["n"].dataType.simpleString() == "string"
+
+
+def test_roots_that_differ(spark, tmp_path):
+    roots, target = [str(tmp_path / "one"), str(tmp_path / "two")], str(tmp_path / "target")
+    typed(spark, roots[0], "a", range(4), "string")
+    typed(spark, roots[1], "b", range(4), "long")
+    typed(spark, roots[1], "c", range(4), "int")
+    assert compact.compact_move(spark, roots, target) == [compact.LeftOut("a", "01", "n", "string", "bigint")]
+    assert read_table(spark, target).count() == 8
+
+
+def test_committed_batches_go_by_one_request_each(spark, tmp_path, monkeypatch):
+    landing, target = str(tmp_path / "landing"), str(tmp_path / "target")
+    for batch in range(3):
+        write_partitioned(scattered(spark, 300, 6), f"{landing}/batch_id={batch}", rebalance=False)
+    late = enriched(spark, (9, "2024-01-01", "01")).select("unique_cdr_id", "event_date", "probe", "ms_ip_address")
+    real, requests = storage._file_system, []
+
+    class Counted:
+        def __init__(self, files):
+            self.files = files
+
+        def __getattr__(self, name):
+            return getattr(self.files, name)
+
+        def delete(self, path, deep):
+            if path.toString().startswith(f"file:{landing}") or path.toString().startswith(landing):
+                requests.append(path.getName())
+            return self.files.delete(path, deep)
+
+    def arrives(*args):
+        write_partitioned(late, f"{landing}/batch_id=2")
+        return real_whole(*args)
+
+    real_whole = compact._require_whole
+    monkeypatch.setattr(storage, "_file_system", lambda spark, path: Counted(real(spark, path)))
+    monkeypatch.setattr(compact, "_require_whole", arrives)
+    compact.compact_move(spark, [landing], target, up_to_batch=1)
+    assert sorted(requests) == ["batch_id=0", "batch_id=1"]
+    assert os.listdir(landing) == ["batch_id=2"]
+    assert read_table(spark, target).count() == 600
+    assert spark.read.parquet(f"{landing}/batch_id=2").count() == 301
 
 
 def test_publish_moves_whole_folders_and_adds_to_those_there(spark, tmp_path):

@@ -331,6 +331,33 @@ def compact_mixed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def compact_mixed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column is int on even days of the year, bigint on odd ones, and text on every tenth: the days
+    with numbers are moved together, the others are reported and stay."""
+    work = storage.work_folder(spark, "compact")
+    rows = cdr_table(spark, sf_dir)
+    day = F.dayofyear(F.to_date("event_date"))
+    kinds = {"string": day % 10 == 0, "int": (day % 10 != 0) & (day % 2 == 0), "bigint": day % 2 == 1}
+    for kind, days in kinds.items():
+        own = rows.filter(days).withColumn("n", F.col("unique_cdr_id").cast(kind))
+        write_partitioned(own, f"{work}/table")
+    left_out = compact.compact_move(spark, [f"{work}/table"], f"{work}/compacted")
+    moved = read_table(spark, f"{work}/compacted")
+    reported = spark.createDataFrame(
+        [(d.event_date, d.probe, d.found) for d in left_out], "event_date string, probe string, found string"
+    )
+    return (
+        moved.groupBy("event_date", "probe")
+        .agg(F.count("*").alias("rows"), F.sum("n").alias("total"))
+        .withColumn("found", F.lit(None).cast("string"))
+        .unionByName(
+            reported.withColumns(
+                {"rows": F.lit(0).cast("bigint"), "total": F.lit(None).cast("bigint")}
+            )
+        )
+    )
+
+
 def unroutable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records that neither branch can place: no usable IMSI and no address."""
     return plain(without_address(unidentified(cdr(spark, sf_dir))))
@@ -404,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "compact_roundtrip": compact_roundtrip,
     "compact_move": compact_move,
     "compact_mixed_columns": compact_mixed_columns,
+    "compact_mixed_types": compact_mixed_types,
     "unroutable": unroutable,
     "stream_two_checkpoints": stream_two_checkpoints,
     "latest_progress": latest_progress_query,

@@ -155,6 +155,13 @@ ORACLES: dict[str, str] = {
         "select event_date, nullif(probe, '') probe, count(*) as rows,"
         " count(*) filter (unique_cdr_id % 2 <> 0) extras from cdr group by all"
     ),
+    "compact_mixed_types": _with(
+        "select event_date, nullif(probe, '') probe,"
+        " count(*) filter (dayofyear(event_date::date) % 10 <> 0) as rows,"
+        " (sum(unique_cdr_id) filter (dayofyear(event_date::date) % 10 <> 0))::bigint total,"
+        " case when dayofyear(any_value(event_date)::date) % 10 = 0 then 'string' end found"
+        " from cdr where event_date is not null group by event_date, probe"
+    ),
     "stream_identified": _with("select * from by_imsi"),
     "partitioned_roundtrip": ENRICHED,
     "imsi_dictionary_read": _with("select imsi _imsi, msisdn _msisdn from imsi_msisdn"),
