@@ -17,7 +17,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import groupby, repeat
+from itertools import chain, groupby, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -227,6 +227,12 @@ def windows(size: int, wide: int) -> list[int]:
     return [*range(0, last, max(wide // 2, 1)), last]
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """The keys in order, each once."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])] if len(keys) else keys
+
+
 def search(index: Index, texts: list[str], limits: Limits) -> list[list[Hit]]:
     """For each text its hits, best window of each item: item, BM25 part, overlap of question and
     answer, first and last word of the window.
@@ -239,11 +245,8 @@ def search(index: Index, texts: list[str], limits: Limits) -> list[list[Hit]]:
 
     def settle(some: list[tuple[int, list[str]]]) -> None:
         sizes = np.array([len(words) for _, words in some])
-        ids = np.fromiter(
-            (t for _, words in some for t in map(index.terms.get, words, repeat(-1))),
-            np.int64,
-            int(sizes.sum()),
-        )
+        every = chain.from_iterable(words for _, words in some)
+        ids = np.fromiter(map(index.terms.get, every, repeat(-1)), np.int64, int(sizes.sum()))
         known = np.flatnonzero(ids >= 0)
         offset = np.arange(len(ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         for step, begin_item, end_item, has in index.classes:
@@ -251,12 +254,12 @@ def search(index: Index, texts: list[str], limits: Limits) -> list[list[Hit]]:
             count = -(-sizes // step)
             first = np.cumsum(count) - count
             segment = np.repeat(first, sizes)[at] + offset[at] // step
-            here = np.unique(segment * width + ids[at])
+            here = distinct(segment * width + ids[at])
             # A passage is a segment and the next one of the same text.
             starts_text = np.zeros(int(count.sum()) + 1, bool)
             starts_text[first] = True
             back = here[~starts_text[here // width]] - width
-            both = np.unique(np.concatenate([here, back]))
+            both = distinct(np.concatenate([here, back]))
             if not both.size:
                 continue
             passage, term = np.divmod(both, width)
