@@ -16,6 +16,7 @@ import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -60,20 +61,17 @@ class Index:
 
     def vector(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of a text, of unit length with the words that are no terms."""
-        known, counts, others = [], [], 0.0
-        for word, n in Counter(words).items():
-            term = self.terms.get(word)
-            if term is None:
-                others += (self.unseen * (1.0 + math.log(n))) ** 2
-            else:
-                known.append(term)
-                counts.append(n)
-        if not known:
+        counted = Counter(words)
+        size = len(counted)
+        terms = np.fromiter(map(self.terms.get, counted, repeat(-1)), np.int64, size)
+        damped = 1.0 + np.log(np.fromiter(counted.values(), np.float64, size))
+        known = np.flatnonzero(terms >= 0)
+        if not len(known):
             return np.zeros(0, np.int64), np.zeros(0)
-        terms = np.array(known)
-        order = np.argsort(terms)
+        others = ((self.unseen * damped[terms < 0]) ** 2).sum()
+        order = known[np.argsort(terms[known])]
         terms = terms[order]
-        weights = (1.0 + np.log(np.array(counts)[order])) * self.idf[terms]
+        weights = damped[order] * self.idf[terms]
         return terms, weights / np.sqrt((weights**2).sum() + others)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[float, int]]:
@@ -82,11 +80,12 @@ class Index:
         if not len(terms) or not blocks:
             return []
         row = self.row[terms]
-        own = np.zeros(len(self.row_top))
-        own[row[row >= 0]] = weights[row >= 0]
+        # A text has few of the frequent terms, and only their rows are read, by one thread.
+        own, row = weights[row >= 0], row[row >= 0]
+        whole = np.einsum("t,tbe->be", own, self.rows[row]) if len(row) else None
         cells, n = ranges(self.cell[terms], self.cell[terms + 1])
         of_term, block = np.repeat(weights, n), self.block[cells]
-        bounds = np.bincount(block, of_term * self.top[cells], blocks) + own @ self.row_top
+        bounds = np.bincount(block, of_term * self.top[cells], blocks) + own @ self.row_top[row]
         # Above any rounding of the scores.
         bounds += 1e-9 * (bounds > 0)
         order = np.argsort(-bounds, kind="stable")
@@ -107,8 +106,8 @@ class Index:
                 np.repeat(of_term[chosen], n) * self.weight[at],
                 len(now) * BLOCK,
             )
-            if len(own):
-                scores = scores + np.concatenate([own @ self.rows[b] for b in now])
+            if whole is not None:
+                scores = scores + whole[now].ravel()
             # Equal examples are level, in whatever order their terms were added.
             scores = np.round(scores, 12)
             least = -best[-1][0] if len(best) == k else 0.0
@@ -169,11 +168,11 @@ def build(examples: list[tuple[int, int, list[str]]], power: float, most_telling
         often = np.argsort(-df, kind="stable")[:ROWS]
         often = often[df[often] > n / 8]
         index.row[often] = np.arange(len(often))
-        index.rows = np.zeros((blocks, len(often), BLOCK))
+        index.rows = np.zeros((len(often), blocks, BLOCK))
         whole = index.row[term] >= 0
         by, within = np.divmod(example[whole], BLOCK)
-        index.rows[by, index.row[term[whole]], within] = weight[whole]
-        index.row_top = index.rows.max(axis=2).T.copy()
+        index.rows[index.row[term[whole]], by, within] = weight[whole]
+        index.row_top = index.rows.max(axis=2)
         term, example, weight = term[~whole], example[~whole], weight[~whole]
         order = np.lexsort((example, term))
         term, index.example, index.weight = term[order], example[order], weight[order]
