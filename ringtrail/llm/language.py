@@ -7,7 +7,6 @@ Whole texts are scored in numpy, a batch of texts at a time.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,6 @@ BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 #: Code points hashed at one go; bounds a worker's memory.
 AT_ONCE = 1 << 19
-LETTER = re.compile(r"[^\W\d_]")
 _STEP = np.uint32(0x9E3779B1)
 
 
@@ -60,7 +58,7 @@ class Model:
         return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if text is None or not self.languages or not LETTER.search(text):
+        if text is None or not self.languages or not any(map(str.isalpha, text)):
             return "und", 0.0
         totals = self.totals(text)
         best = int(np.argmax(totals))
@@ -83,22 +81,28 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def fit(docs: DataFrame, learn: Column, per_language: int = 3000, max_chars: int = 1 << 16) -> Model:
+def fit(docs: DataFrame, learn: Column, per_language: int = 3000, max_chars: int = 1 << 16, most_languages: int = 256) -> Model:
     """Learn from about `per_language` rows of each language, among those for which `learn` is
     true, lang is not NULL and the text has at most `max_chars` characters (the sample's bounds).
 
-    Rows without text or id are not learned from. With nothing to learn, every text is `und`.
+    Only the `most_languages` with the most rows are learned (of equal ones the first to sort), which
+    bounds the matrix that is broadcast. Rows without text or id are not learned from. With nothing
+    to learn, every text is `und`.
     """
     known = docs.select("doc_id", "text", "lang").where(
         F.coalesce(learn, F.lit(False)) & F.col("lang").isNotNull() & (F.length("text") <= max_chars)
     )
-    rows = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    often = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    rows = {r["lang"]: r["count"] for r in often.collect()}
     languages = sorted(rows)
     part = F.lit(0.0)
     for lang in languages:
         part = F.when(F.col("lang") == lang, F.lit(per_language / rows[lang])).otherwise(part)
-    sample = known.where(share(F.col("doc_id"), 8) < part).select("lang", "text")
-    counted = sample.repartition(6).mapInArrow(_count, "lang string, bucket long, n long")
+    # An id that many rows share gives one row, the least of its languages and texts.
+    chosen = known.where(share(F.col("doc_id"), 8) < part)
+    sample = chosen.groupBy("doc_id").agg(F.min(F.struct("lang", "text")).alias("own")).select("own.*")
+    tasks = max(1, 2 * len(languages))
+    counted = sample.repartition(tasks).mapInArrow(_count, "lang string, bucket long, n long")
     counts = np.zeros((BUCKETS, len(languages)))
     for r in counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
         counts[r["bucket"], languages.index(r["lang"])] = r["n"]

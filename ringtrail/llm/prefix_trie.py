@@ -488,7 +488,7 @@ def branched_trie(conversations: DataFrame, at_once: int = AT_ONCE) -> DataFrame
     text. NULL role or text counts as empty, and repeated rows are turns of their own. Rows without
     conv_id belong to no conversation and are left out. Only conv_id, turn, role and text are read.
     """
-    with scratch() as lasting:
+    with scratch(conversations.sparkSession) as lasting:
         turns, chunks = placed_turns(slim_turns(conversations))
         paths, ends = branched(turns, chunks)
         found = staged(trie(paths, ends, at_once), "trie")

@@ -25,7 +25,12 @@ from ringtrail.llm import (
 from ringtrail.llm.rows import remainder
 
 
+#: Texts are of any length, so it takes bytes to bound what is handed to Python at a time.
+BATCH = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set(*BATCH)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -202,7 +207,8 @@ select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from k
 
 
 def _op9() -> str:
-    """The rounds are written out one after the other."""
+    """What each round passes on is added up, until nothing that a verdict or a digit could turn on is
+    under way."""
     decided, rule = "null", "null"
     for r in sorted(reversed(RULES), key=lambda r: len(r.rule)):
         own, slash, rest = r.rule.partition("/")
@@ -210,17 +216,9 @@ def _op9() -> str:
         decided = f"case when {fits} then '{r.verdict}' else {decided} end"
         rule = f"case when {fits} then '{r.rule}' else {rule} end"
     host = "translate(regexp_extract({}, '^[^/?#]*'), '" + url_filter.UPPER + "', '" + url_filter.LOWER + "')"
-    rounds = "".join(
-        f"""s{i} as materialized (
-  select kind, src, sum(score) as score from (
-    select * from s0 union all
-    select w.kind, w.dst, s.score * w.part from s{i - 1} s join ways w on w.kind = s.kind and w.src = s.src)
-  group by all),
-"""
-        for i in range(1, 13)
-    )
+    link, absolute = url_filter.LINK, url_filter.ABSOLUTE
     return rf"""
-with r as (
+with recursive r as (
   select page_id, html,
     case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest
   from pages),
@@ -230,12 +228,10 @@ h as (
   from r),
 p as materialized (select *, {rule} as rule, {decided} as decided from h),
 l as (
-  select host as src, unnest(regexp_extract_all(html,
-    '(?i)<a\s[^>]*?href\s*=\s*["\x27]([^"\x27#]*)', 1)) as link
-  from p),
+  select host as src, unnest(regexp_extract_all(html, '{link}', 1)) as link from p),
 e as (
   select src, {host.format("substr(link, instr(link, '//') + 2)")} as dst from l
-  where starts_with(link, '//') or instr(link, '://') > 0),
+  where regexp_matches(link, '{absolute}')),
 n as (select src, dst, count(*) as n from e where src <> '' and dst <> '' and src <> dst group by all),
 b as (
   select 'trust' as kind, src, dst, n from n union all
@@ -249,11 +245,14 @@ g as (
 s0 as materialized (
   select 'trust' as kind, src, trust as score from g where trust > 0 union all
   select 'distrust', src, distrust from g where distrust > 0),
-{rounds}
+rounds as (
+  select 0 as n, kind, src, score from s0 union all
+  select max(r.n) + 1, w.kind, w.dst, sum(r.score * w.part)
+  from rounds r join ways w on w.kind = r.kind and w.src = r.src where r.score > 1e-15 group by w.kind, w.dst),
 f as (
-  select src as host, round(sum(case when kind = 'trust' then score else 0 end), 9) as trust,
-    round(sum(case when kind = 'distrust' then score else 0 end), 9) as distrust
-  from s12 group by src)
+  select src as host, round(sum(case when kind = 'trust' then score else 0 end), 6) as trust,
+    round(sum(case when kind = 'distrust' then score else 0 end), 6) as distrust
+  from rounds group by src)
 select page_id, p.host, path, rule,
   coalesce(decided, case when coalesce(distrust, 0) >= 0.05 and distrust > trust then 'block'
     else 'allow' end) as verdict,

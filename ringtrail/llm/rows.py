@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from collections import deque
 from collections.abc import Iterator
 from contextlib import contextmanager
-from contextvars import ContextVar
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ringtrail.storage import work_folder
+from ringtrail import storage
 
 #: Spark drops a query's shuffle files when the query ends, not when the driver collects garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -35,51 +33,34 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     Nothing that was shuffled to make them stays on the executors' disks.
     """
     spark = df.sparkSession
-    folder = work_folder(spark, f"llm-{purpose}")
+    folder = storage.work_folder(spark, f"llm-{purpose}")
     with _dropping_shuffles(spark):
         df.write.option("compression", "zstd").parquet(folder)
     read = spark.read.schema(df.schema).parquet(folder)
     _folders[read] = folder
-    _scratch.get().append(read)
     return read
 
 
 #: Where the tables that `staged` has returned lie, as long as they are in use.
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
-#: What was staged in the block that is running; outside of any, nothing is kept account of.
-_scratch: ContextVar[list[DataFrame]] = ContextVar("scratch", default=deque(maxlen=0))
 
 
 @contextmanager
-def scratch() -> Iterator[list[DataFrame]]:
+def scratch(spark: SparkSession) -> Iterator[list[DataFrame]]:
     """Tables staged inside the block are deleted at its end, whether it succeeds or not.
 
-    Put what must outlive it on the list that is given; a block around this one then owns it.
+    Put what must outlive it on the list that is given; it then goes with the block around this one,
+    or with the driver.
     """
-    own: list[DataFrame] = []
     lasting: list[DataFrame] = []
-    outer = _scratch.set(own)
-    try:
+    with storage.scratch(spark) as own:
         yield lasting
-    except BaseException:
-        lasting.clear()
-        raise
-    finally:
-        _scratch.reset(outer)
-        for table in own:
-            if any(table is other for other in lasting):
-                _scratch.get().append(table)
-            elif table in _folders:
-                release(table)
+        own.keep(*(_folders[table] for table in lasting))
 
 
 def release(table: DataFrame) -> None:
     """Delete a staged table. Whatever was made of it must be staged itself by then."""
-    folder = _folders.pop(table)
-    jvm = table.sparkSession.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    conf = table.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    path.getFileSystem(conf).delete(path, True)
+    storage.remove(table.sparkSession, _folders.pop(table))
 
 
 def numbered(docs: DataFrame, purpose: str) -> DataFrame:

@@ -205,7 +205,7 @@ def variants(
     end, the word itself if it has none. NULL and empty texts have no words; a NULL doc_id counts as
     an empty one. Repeated rows count each time. Only doc_id and text are read.
     """
-    with scratch() as lasting:
+    with scratch(docs.sparkSession) as lasting:
         words = staged(word_counts(docs, least_length, least_count), "words")
         pairs = near_pairs(words, hot_entries)
         best = F.min(F.struct((-F.col("n_of_near")).alias("less"), "near"))

@@ -73,8 +73,9 @@ def host_links(pages: DataFrame) -> DataFrame:
 def spread(seeds: DataFrame, links: DataFrame, rest: float, damping: float) -> DataFrame:
     """host, trust, distrust from seeds of the same columns, each less than `rest` below its limit.
 
-    Rounds go on until all that is still under way, of all hosts together, is below `rest`. A host passes `damping` of its trust to those it links to, by number of links, and of its
-    distrust to those that link to it. What a host without links would pass is lost.
+    Rounds go on until all that is still under way, of all hosts together, is below `rest`. A host
+    passes `damping` of its trust to those it links to, by number of links, and of its distrust to
+    those that link to it. What a host without links would pass is lost.
     """
     ways = links.select(F.lit("trust").alias("kind"), "src", "dst", "n").unionByName(
         links.select(
@@ -118,7 +119,7 @@ def spread(seeds: DataFrame, links: DataFrame, rest: float, damping: float) -> D
                 if (now - before) * shrink / (1 - shrink) < rest:
                     break
                 before = now
-    of = lambda kind: F.round(F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)), 9)
+    of = lambda kind: F.round(F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)), 6)
     return scores.groupBy(F.col("src").alias("host")).agg(
         of("trust").alias("trust"), of("distrust").alias("distrust")
     )
@@ -127,7 +128,7 @@ def spread(seeds: DataFrame, links: DataFrame, rest: float, damping: float) -> D
 def judge(
     pages: DataFrame,
     rules: list[Rule],
-    rest: float = 1e-6,
+    rest: float = 1e-9,
     damping: float = 0.85,
     least_distrust: float = 0.05,
 ) -> DataFrame:

@@ -395,6 +395,35 @@ def test_distrust_reaches_the_end_of_a_chain(spark):
         assert got[i]["verdict"] == ("block" if 0.85**i >= 0.05 else "allow")
 
 
+def test_sql_of_url_filter_on_linked_hosts(spark, tmp_path):
+    """A chain of 30 hosts below a blocked one, and a few circles."""
+    from ringtrail.llm import queries
+    from tests.compare import as_rows, oracle
+
+    pages = [(0, "http://h0.com/de/x", "")]
+    pages += [(i, f"http://h{i}.net/p", f'<a href="http://h{i - 1}.{"com" if i == 1 else "net"}/">y</a>') for i in range(1, 31)]
+    pages += [(40, "http://good.org/", "<a href=//c1.net>1</a><a href='http://C2.net/x'>2</a>")]
+    pages += [(41, "http://c1.net/", '<a href="http://c2.net">1</a>'), (42, "http://c2.net/", '<a href="//c1.net">1</a>')]
+    pages += [(43, "no host", '<a href="//c1.net">1</a>'), (44, None, None)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = queries.op9_url_filter(spark, str(tmp_path)).toArrow()
+    want = oracle(str(tmp_path), queries.ORACLES["op9_url_filter"].replace("from pages", f"from '{tmp_path}/pages.parquet/*.parquet'"))
+    assert as_rows(got) == as_rows(want)
+    verdicts = dict(zip(got["page_id"].to_pylist(), got["verdict"].to_pylist()))
+    assert [verdicts[i] for i in range(31)] == ["block" if 0.85**i >= 0.05 else "allow" for i in range(31)]
+
+
+def test_numbers_are_no_letters(spark):
+    docs = spark.createDataFrame(
+        [(i, t, "en" if i < 9 else None) for i, t in enumerate(["some words", "\u00b2", "\u00bd", "\u2460", "\u2162", "12 _", "\u6f22", "x"])],
+        "doc_id long, text string, lang string",
+    )
+    got = language.predict(docs, language.fit(docs, F.lit(True)))
+    assert {r["doc_id"]: r["lang_pred"] for r in got.collect()} == {
+        i: "und" if i in (1, 2, 3, 4, 5) else "en" for i in range(8)
+    }
+
+
 def test_links_without_quotes_and_links_inside_queries(spark):
     html = (
         "<a href=http://One.net/x>1</a><a class=y href=//two.net>2</a><a href='https://three.net#z'>3</a>"
