@@ -17,7 +17,7 @@ import random
 import re
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,19 +27,22 @@ from pyspark.sql import functions as F
 
 from ringtrail.llm.rows import scratch, staged
 
-#: Documents in a block, islands that work on it, packings on an island, children per epoch, epochs.
+#: Documents in a block (the last may hold four times as many), islands that work on it, packings on
+#: an island, children per epoch, epochs.
 BLOCK, ISLANDS, PACKINGS, CHILDREN, EPOCHS = 2048, 3, 4, 12, 2
-#: Words that a worker remembers in each half, and the longest it remembers (code points): about 200
-#: bytes each, 500 at most.
-REMEMBERED, LONGEST = 200_000, 64
+#: Words, and chunks, that a worker remembers in each half, and the longest it remembers (code points):
+#: about 200 bytes each, 500 at most.
+REMEMBERED, LONGEST = 400_000, 64
 #: Ids in one round and block, more than a block has documents.
 _IDS = 1 << 16
 
-Packing = list[tuple[int, ...]]
+#: Sequences as their tokens and the documents in them.
+Packing = list[tuple[int, tuple[int, ...]]]
 
 
-#: Characters that need a look into tables of Unicode: neither ASCII that prints, nor a blank that
-#: chunks are cut at, nor an accented Latin letter.
+#: Characters that need no look into tables of Unicode, in Latin-1: ASCII that prints, blanks that
+#: chunks are cut at, accented letters.
+PLAIN = bytes([*b"\n", *range(32, 127), *range(0xC0, 0x100)])
 ODD, BLANK = re.compile("[^ -~\n\u00C0-\u00FF]"), re.compile("[ \n]")
 # How the tokenizer of `word_bpe_49k.json` splits lower-cased text of other characters
 # into words.
@@ -56,20 +59,18 @@ def _byte_names() -> dict[int, str]:
     return {c: "".join(names[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
-class _Words(dict[str, bytes]):
-    """Ids of words, asked of the model when first needed. Of the words not needed lately, the older
-    half is forgotten."""
+class _Remembered(dict[str, bytes]):
+    """Ids of words, worked out when first needed. Of those not needed lately the older half is
+    forgotten."""
 
-    def __init__(self, model) -> None:
-        self._model = model
-        self._names = _byte_names()
+    def __init__(self, ids_of: Callable[[str], bytes]) -> None:
+        self._ids_of = ids_of
         self._older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self._older.get(word)
         if ids is None:
-            tokens = self._model.tokenize(word if word.isascii() else word.translate(self._names))
-            ids = array("I", [token.id for token in tokens]).tobytes()
+            ids = self._ids_of(word)
         if len(word) <= LONGEST:
             if len(self) >= REMEMBERED:
                 self._older = dict(self)
@@ -92,15 +93,30 @@ class Encoder:
 
         self._tokenizer = Tokenizer.from_str(tokenizer)
         self._tokenizer.encode_special_tokens = True
-        self._words = _Words(self._tokenizer.model)
+        self._model, self._names = self._tokenizer.model, _byte_names()
+        # Most chunks are one word; only new ones are split into their words.
+        self._words, self._chunks = _Remembered(self._word), _Remembered(self._chunk)
+
+    def _word(self, word: str) -> bytes:
+        tokens = self._model.tokenize(word if word.isascii() else word.translate(self._names))
+        return array("I", [token.id for token in tokens]).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, WORDS.findall(chunk)))
 
     def _plain(self, text: str) -> bytes:
-        return b"".join(map(self._words.__getitem__, WORDS.findall(text.lower())))
+        # Of all characters that `split` cuts at, plain text has the blanks of `BLANK` alone.
+        return b"".join(map(self._chunks.__getitem__, text.lower().split()))
 
     def _other(self, chunk: str) -> bytes:
         return array("I", self._tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
+        try:
+            if not text.encode("latin-1").translate(None, PLAIN):
+                return self._plain(text)
+        except UnicodeEncodeError:
+            pass
         found, at = [], 0
         for odd in ODD.finditer(text):
             if odd.start() < at:
@@ -188,8 +204,8 @@ def best_fit(packing: Packing, items: list[int], lengths: list[int], capacity: i
     room: dict[int, list[int]] = {}
     # Bit r is set if some sequence has room for exactly r more.
     mask = 0
-    for place, members in enumerate(packing):
-        left = capacity - sum([lengths[i] for i in members])
+    for place, (fill, _) in enumerate(packing):
+        left = capacity - fill
         if left:
             room.setdefault(left, []).append(place)
             mask |= 1 << left
@@ -201,20 +217,21 @@ def best_fit(packing: Packing, items: list[int], lengths: list[int], capacity: i
             place = room[left].pop()
             if not room[left]:
                 mask ^= 1 << left
-            packing[place] = (*packing[place], item)
+            fill, members = packing[place]
+            packing[place] = (fill + size, (*members, item))
             left -= size
         else:
             place, left = len(packing), capacity - size
-            packing.append((item,))
+            packing.append((size, (item,)))
         if left:
             room.setdefault(left, []).append(place)
             mask |= 1 << left
     return packing
 
 
-def cost(packing: Packing, lengths: list[int]) -> tuple[int, int]:
+def cost(packing: Packing) -> tuple[int, int]:
     """Fewer sequences are better, then more uneven ones: full ones leave room in the others."""
-    return len(packing), -sum([sum([lengths[i] for i in members]) ** 2 for members in packing])
+    return len(packing), -sum([fill * fill for fill, _ in packing])
 
 
 def child(
@@ -222,32 +239,30 @@ def child(
 ) -> Packing:
     """Half of the well-filled sequences of `other`, what of `one` has no item in them, and the rest
     put where it fits best; the emptiest sequences and a few others are dissolved on the way."""
-    fills = [sum([lengths[i] for i in members]) for members in other]
-    mean = sum(fills) / len(fills)
-    injected = [m for m, fill in zip(other, fills) if fill >= mean and chance.random() < 0.5]
-    taken = {i for members in injected for i in members}
-    packing, displaced = injected, []
-    for members in one:
-        if taken.isdisjoint(members):
-            packing.append(members)
+    mean = sum([fill for fill, _ in other]) / len(other)
+    packing = [s for s in other if s[0] >= mean and chance.random() < 0.5]
+    taken, displaced = {i for _, members in packing for i in members}, []
+    for sequence in one:
+        if taken.isdisjoint(sequence[1]):
+            packing.append(sequence)
         else:
-            displaced.extend([i for i in members if i not in taken])
-    packing.sort(key=lambda members: sum([lengths[i] for i in members]))
+            displaced.extend([i for i in sequence[1] if i not in taken])
+    packing.sort()
     dissolved = max(1, len(packing) // 50)
-    lost = set(range(dissolved)) | {chance.randrange(len(packing)) for _ in range(dissolved)} if packing else set()
-    displaced.extend([i for place in lost for i in packing[place]])
-    return best_fit([m for place, m in enumerate(packing) if place not in lost], displaced, lengths, capacity)
+    lost = {*range(dissolved), *(chance.randrange(len(packing)) for _ in range(dissolved))}
+    displaced.extend([i for place in lost for i in packing[place][1]])
+    return best_fit([s for place, s in enumerate(packing) if place not in lost], displaced, lengths, capacity)
 
 
 def evolved(
     population: list[Packing], lengths: list[int], capacity: int, children: int, chance: random.Random
 ) -> list[Packing]:
     """The population, best first, after so many children; a better child replaces the worst."""
-    ranked = sorted(((cost(p, lengths), n, p) for n, p in enumerate(population)))
+    ranked = sorted((cost(p), n, p) for n, p in enumerate(population))
     for n in range(children):
         one, other = chance.sample(ranked, 2)
         new = child(one[2], other[2], lengths, capacity, chance)
-        entry = (cost(new, lengths), len(population) + n, new)
+        entry = (cost(new), len(population) + n, new)
         if entry[0] < ranked[-1][0] and entry[0] not in [r[0] for r in ranked]:
             ranked = sorted([*ranked[:-1], entry])
     return [p for _, _, p in ranked]
@@ -270,16 +285,16 @@ def founded(lengths: list[int], capacity: int, size: int, chance: random.Random)
 
 def _to_numbers(packing: Packing, size: int) -> np.ndarray:
     found = np.empty(size, np.int32)
-    for place, members in enumerate(packing):
+    for place, (_, members) in enumerate(packing):
         found[list(members)] = place
     return found
 
 
-def _from_numbers(numbers: list[int]) -> Packing:
+def _from_numbers(numbers: list[int], lengths: list[int]) -> Packing:
     members: list[list[int]] = [[] for _ in range(max(numbers) + 1)]
     for item, place in enumerate(numbers):
         members[place].append(item)
-    return [tuple(m) for m in members]
+    return [(sum([lengths[i] for i in m]), tuple(m)) for m in members]
 
 
 def _epoch(capacity: int, size: int, children: int, epoch: int):
@@ -295,18 +310,18 @@ def _epoch(capacity: int, size: int, children: int, epoch: int):
                 else:
                     # The migrant takes the place of the worst.
                     kept = row["packings"][:-1] + [row["migrant"] or row["packings"][-1]]
-                    population = [_from_numbers(p) for p in kept]
+                    population = [_from_numbers(p, lengths) for p in kept]
                 population = evolved(population, lengths, capacity, children, chance)
-                sequences, fill = cost(population[0], lengths)
+                sequences, evenness = cost(population[0])
                 yield pa.RecordBatch.from_pylist(
                     [
                         {
                             "block": row["block"],
                             "island": row["island"],
                             "lengths": lengths,
-                            "packings": [_to_numbers(p, len(lengths)).tolist() for p in population],
+                            "packings": [_to_numbers(p, len(lengths)) for p in population],
                             "sequences": sequences,
-                            "evenness": fill,
+                            "evenness": evenness,
                         }
                     ],
                     _STATE_SCHEMA,
@@ -346,12 +361,13 @@ def _placed(capacity: int):
         for batch in source:
             for row in batch.to_pylist():
                 found = []
-                for place, members in enumerate(_from_numbers(row["packing"])):
-                    sizes = [row["lengths"][i] for i in members]
-                    full, offset = sum(sizes) == capacity, 0
-                    for i, size in zip(members, sizes):
-                        found.append((row["numbers"][i], row["block"], place, offset, size, full))
-                        offset += size
+                lengths = row["lengths"]
+                for place, (fill, members) in enumerate(_from_numbers(row["packing"], lengths)):
+                    offset = 0
+                    for i in members:
+                        item = (row["numbers"][i], row["block"], place, offset, lengths[i])
+                        found.append((*item, fill == capacity))
+                        offset += lengths[i]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema
                 )
@@ -376,7 +392,7 @@ def _packed_blocks(
         "blocks",
     )
     # The work is in Python, not in the bytes, so the number of tasks is not left to their size.
-    tasks = -(-blocks * islands // max(2, blocks * islands // 2000))
+    tasks = -(-blocks * islands // max(8, blocks * islands // 2000))
     own = ["block", "island"]
     state = dealt.select(
         "block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"), "lengths"
@@ -424,13 +440,13 @@ def pack(
     alone. Repeated rows are documents of their own, rows without doc_id too. Only doc_id and text
     are read; `ids` costs nothing unless it is selected.
     """
-    with scratch() as lasting:
+    with scratch(docs.sparkSession) as lasting:
         pieces = token_pieces(docs, tokenizer, capacity, end_id)
         items = pieces.where(F.col("length") < capacity).select("number", "length")
         count, settled, turn = items.count(), [], 0
         while count:
-            # Two blocks at least half full, or one that may be half as large again.
-            blocks = max(1, round(count / block))
+            # What a few blocks hold is packed as one, which leaves no room at their borders.
+            blocks = -(-count // block) if count > 4 * block else 1
             placed = _packed_blocks(items, blocks, capacity, islands, packings, children, epochs)
             loose = placed.where("not settled")
             left = loose.count() if blocks > 1 else 0

@@ -129,7 +129,7 @@ def test_words_are_forgotten_by_halves(tokenizer, whole, monkeypatch):
     encoder = packing.Encoder(tokenizer)
     text = "one two three four five one two six seven one " * 3
     assert list(np.frombuffer(encoder.encode(text), "<u4")) == whole(text)
-    assert len(encoder._words) <= 3
+    assert max(len(encoder._words), len(encoder._chunks)) <= 3
 
 
 @pytest.mark.parametrize("block", [16, 2048])
@@ -170,12 +170,12 @@ def test_children_keep_every_document_once():
     pick = random.Random(8)
     lengths = [pick.randint(1, 100) for _ in range(200)]
     population = packing.founded(lengths, 100, 4, pick)
-    before = packing.cost(population[0], lengths)
+    before = packing.cost(population[0])
     after = packing.evolved(population, lengths, 100, 60, pick)
     for packed in after:
-        assert sorted(i for members in packed for i in members) == list(range(200))
-        assert max(sum(lengths[i] for i in members) for members in packed) <= 100
-    assert packing.cost(after[0], lengths) <= before
+        assert sorted(i for _, members in packed for i in members) == list(range(200))
+        assert all(fill == sum(lengths[i] for i in members) <= 100 for fill, members in packed)
+    assert packing.cost(after[0]) <= before
     # Pairs that fill a sequence exactly, which the longest first with best fit finds too.
     assert len(packing.best_fit([], list(range(6)), [60, 40, 70, 30, 90, 10], 100)) == 3
 
