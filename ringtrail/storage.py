@@ -59,13 +59,17 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
         own._close(spark, outer)
 
 
-def _application_folder(spark: SparkSession) -> str:
+def _shared_folder(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
-    return f"{shared.rstrip('/')}/ringtrail-{spark.sparkContext.applicationId}"
+    if shared:
+        return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{_shared_folder(spark)}/ringtrail-{spark.sparkContext.applicationId}"
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:

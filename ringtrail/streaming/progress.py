@@ -8,15 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the latest progress of each named query. Add it with `spark.streams.addListener`."""
 
     def __init__(self) -> None:
         self._latest: dict[str, str] = {}
-        self._ended = threading.Event()
+        self._names: dict[str, str] = {}
+        self._ended: set[str] = set()
+        self._news = threading.Condition()
 
     def onQueryStarted(self, event) -> None:
-        pass
+        with self._news:
+            self._names[str(event.runId)] = event.name
+            self._ended.discard(event.name)
 
     def onQueryProgress(self, event) -> None:
         self._latest[event.progress.name] = event.progress.json
@@ -25,11 +30,15 @@ class ProgressLog(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self._ended.set()
-
-    def wait_for_end(self, seconds: float = 60) -> bool:
-        """Wait until a query has ended and its last progress has arrived."""
-        return self._ended.wait(seconds)
+        with self._news:
+            self._ended.add(self._names.pop(str(event.runId), None))
+            self._news.notify_all()
+
+    def wait_for_end(self, name: str, seconds: float = 60) -> bool:
+        """Wait until the last run of the query of that name has ended and its last progress has
+        arrived."""
+        with self._news:
+            return self._news.wait_for(lambda: name in self._ended, seconds)
 
     def progress(self, spark: SparkSession) -> DataFrame:
         return progress_rows(

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
@@ -9,7 +10,7 @@ from ringtrail.plans.batch import enrich_feed
 from ringtrail.schema import ENRICHED_SCHEMA, IMSI_DICTIONARY
 from ringtrail.sources import open_feed, session_addresses, shape_dictionary
 from ringtrail.sources.tables import read_table
-from ringtrail.streaming import ProgressLog, Snapshot, latest_progress, start_enrichment
+from ringtrail.streaming import ProgressLog, Snapshot, latest_progress, run_together, start_enrichment
 from ringtrail.streaming.progress import progress_rows
 
 
@@ -168,7 +169,7 @@ def test_progress(spark, tmp_path):
             spark, work, Snapshot(spark, lambda: subscribers(spark)), Snapshot(spark, lambda: sessions(spark)),
             query_name="named",
         )
-        assert log.wait_for_end()
+        assert log.wait_for_end("named") and not log.wait_for_end("another", 0.1)
     finally:
         spark.streams.removeListener(log)
     row = latest_progress(log.progress(spark)).filter("name = 'named'").first()
@@ -182,3 +183,34 @@ def test_latest_progress_per_name(spark):
     ]
     got = latest_progress(progress_rows(spark.createDataFrame([(r,) for r in reports], "json string")))
     assert rows(got.select("name", "batch_id")) == [("a", 3), ("b", 3)]
+
+
+def forever(spark, work, name, fails):
+    def handle(batch, batch_id):
+        if fails and batch_id:
+            raise ValueError("no room left")
+
+    rate = spark.readStream.format("rate").option("rowsPerSecond", 5).load()
+    return rate.writeStream.foreachBatch(handle).queryName(name).option("checkpointLocation", f"{work}/{name}").start()
+
+
+def test_failure_of_one_query_ends_the_others(spark, tmp_path):
+    """The second fails while the first would run on."""
+    both = [forever(spark, tmp_path, name, name == "second") for name in ("first", "second")]
+    with pytest.raises(Exception, match="no room left"):
+        run_together(both, 0.2)
+    assert not any(query.isActive for query in both)
+
+
+def test_queries_that_end_by_themselves(spark, tmp_path):
+    feeds = []
+    for name in ("one", "two"):
+        work = str(tmp_path / name)
+        deliver(f"{work}/feed", "f", "2024-01-01 10:00:00,PP,,1,a,1")
+        feed = open_feed(spark, "text", path=f"{work}/feed")
+        feeds.append(
+            feed.writeStream.format("parquet").option("path", f"{work}/out").trigger(availableNow=True)
+            .option("checkpointLocation", f"{work}/checkpoint").start()
+        )
+    run_together(feeds, 0.2)
+    assert [spark.read.parquet(str(tmp_path / n / "out")).count() for n in ("one", "two")] == [1, 1]

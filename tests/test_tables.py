@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests.conftest import SF_DIR, rows
 
+from ringtrail import storage
 from ringtrail.schema import ENRICHED_SCHEMA
 from ringtrail.sinks import stream_to_table, write_batch, write_partitioned
 from ringtrail.sources.tables import directory_sizes, read_table, table_files
@@ -82,15 +83,16 @@ def test_only_wanted_directories_are_read(spark, tmp_path):
 def test_work_folder_is_the_shared_one():
     from types import SimpleNamespace
 
-    from ringtrail import storage
+    conf = SimpleNamespace(get=lambda key, default: {"spark.checkpoint.dir": "hdfs://shared/"}.get(key, default))
+    assert storage._shared_folder(SimpleNamespace(conf=conf)) == "hdfs://shared"
+
 
-    def session(**conf):
-        return SimpleNamespace(
-            conf=SimpleNamespace(get=lambda key, default: conf.get(key.replace(".", "_"), default))
-        )
+def test_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
 
-    shared = session(spark_checkpoint_dir="hdfs://shared/")
-    assert storage.work_folder(shared, "x").startswith("hdfs://shared/ringtrail-x-")
+    conf, context = SimpleNamespace(get=lambda key, default: default), SimpleNamespace(master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.work_folder(SimpleNamespace(conf=conf, sparkContext=context), "x")
 
 
 def test_work_folder_is_below_the_warehouse_otherwise(spark):
@@ -113,3 +115,25 @@ def test_plain_stream_sink(spark, tmp_path):
     query = stream_to_table(stream, str(tmp_path / "out"), str(tmp_path / "ck"), trigger={"availableNow": True})
     query.awaitTermination()
     assert keys(spark.read.schema(ENRICHED_SCHEMA).parquet(str(tmp_path / "out"))) == [(1, "d", "01")]
+
+
+def test_work_folders_go_with_their_block(spark, tmp_path, monkeypatch):
+    """After a query is written in a block, nothing is left below the shared folder."""
+    monkeypatch.setattr(storage, "_shared_folder", lambda spark: str(tmp_path / "shared"))
+
+    with storage.scratch(spark):
+        catalog.run(spark, SF_DIR, "enrich_by_ip_sliced").write.parquet(str(tmp_path / "out"))
+        assert os.listdir(tmp_path / "shared")
+    assert os.listdir(tmp_path / "shared") == []
+    with pytest.raises(ValueError), storage.scratch(spark) as own:
+        own.keep(storage.work_folder(spark, "kept"))
+        raise ValueError
+    with storage.scratch(spark) as outer:
+        with storage.scratch(spark) as inner:
+            kept, gone = storage.work_folder(spark, "kept"), storage.work_folder(spark, "gone")
+            for folder in (kept, gone):
+                spark.range(1).write.parquet(folder)
+            inner.keep(kept)
+        assert storage.exists(spark, kept) and not storage.exists(spark, gone)
+        assert outer.folders == [kept]
+    assert os.listdir(tmp_path / "shared") == []

@@ -378,7 +378,7 @@ def latest_progress_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     try:
         work = storage.work_folder(spark, "stream")
         _run_stream(spark, sf_dir, work, "latest_progress")
-        log.wait_for_end()
+        log.wait_for_end("latest_progress")
     finally:
         spark.streams.removeListener(log)
     return latest_progress(log.progress(spark)).select("name", "batch_id", "num_input_rows")
