@@ -91,7 +91,8 @@ def common(found: Sequence[Group]) -> tuple[T.StructType, list[Misfit]]:
     beginning with one group and adding the others, larger ones first."""
     ordered = sorted(found, key=lambda g: (-len(g.files), min(g.files)))
     tried = [_added([group, *(g for g in ordered if g is not group)]) for group in ordered]
-    return min(tried, key=lambda t: sum(len(m.files) for m in t[1]))
+    nothing: tuple[T.StructType, list[Misfit]] = (T.StructType([]), [])
+    return min(tried, key=lambda t: sum(len(m.files) for m in t[1]), default=nothing)
 
 
 def _added(ordered: Sequence[Group]) -> tuple[T.StructType, list[Misfit]]:
