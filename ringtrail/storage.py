@@ -166,7 +166,7 @@ def remove_folders(spark: SparkSession, locations: Iterable[str]) -> None:
     jvm = spark.sparkContext._jvm
 
     def delete(location: str) -> None:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(location))
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(location.rstrip("/")))
         _file_system(spark, path).delete(path, True)
 
     _each(delete, locations)
