@@ -56,3 +56,20 @@ def test_hot_imsi_is_split(spark, setting):
     assert joined.agg(F.count("*")).first()[0] > 59_000
     joined.collect()
     assert "skew=true" in plan(joined)
+
+
+def test_rows_of_one_row_group_are_parsed_by_many_tasks(spark, tmp_path):
+    events = spark.range(400, numPartitions=1).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-01 00:00:01' as ts", "id % 7 as user_id", "'view' as event_type"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    tasks = catalog.parse_wide(spark, str(tmp_path)).groupBy(F.spark_partition_id().alias("task")).count()
+    found = [row["count"] for row in tasks.collect()]
+    assert sum(found) == 400 and len(found) >= 8
+
+
+def test_staged_tables_leave_settings_alone(spark, setting, tmp_path):
+    setting("spark.sql.codegen.hugeMethodLimit", "50000")
+    records = staged(catalog.parse_wide(spark, SF_DIR), str(tmp_path / "records"))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "50000"
+    assert sorted(map(repr, records.collect())) == sorted(map(repr, catalog.parse_wide(spark, SF_DIR).collect()))

@@ -5,10 +5,14 @@ The same text runs in Spark and in DuckDB; only the timestamp formatting differs
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ringtrail.schema import WIDE_CDR_FIELDS
 
+TASKS_PER_CORE = 4
+
 SPARK_TIMESTAMP = "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
 DUCKDB_TIMESTAMP = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
 SPARK_MILLIS = "unix_millis(cast(ts as timestamp))"
@@ -75,8 +79,14 @@ def wide_raw_sql(millis: str) -> str:
     return "select " + "\n || ',' || ".join(values).format(millis=millis) + " as value from events"
 
 
-def _derive(spark: SparkSession, sf_dir: str, table: str, sql: str) -> DataFrame:
-    source = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+def _derive(
+    spark: SparkSession,
+    sf_dir: str,
+    table: str,
+    sql: str,
+    dealt: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    source = dealt(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
     return spark.sql(sql.replace(f"from {table}", "from {source}"), source=source)
 
 
@@ -85,7 +95,16 @@ def cdr_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(spark, sf_dir, "events", wide_raw_sql(SPARK_MILLIS))
+    """The files may have a few large row groups, and a row becomes a payload of many fields, so the
+    rows are dealt out while they are small."""
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return _derive(
+        spark,
+        sf_dir,
+        "events",
+        wide_raw_sql(SPARK_MILLIS),
+        lambda events: events.repartition(tasks, "event_id", "user_id", "ts"),
+    )
 
 
 def imsi_msisdn(spark: SparkSession, sf_dir: str) -> DataFrame:
