@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +31,9 @@ from ringtrail.llm.rows import scratch, staged
 #: Documents in a block (the last may hold four times as many), islands that work on it, packings on
 #: an island, children per epoch, epochs.
 BLOCK, ISLANDS, PACKINGS, CHILDREN, EPOCHS = 2048, 3, 4, 12, 2
-#: Words, and chunks, that a worker remembers in each half, and the longest it remembers (code points):
-#: about 200 bytes each, 500 at most.
-REMEMBERED, LONGEST = 400_000, 64
+#: Words, and chunks of odd texts, that a worker remembers in each half, and the longest it remembers
+#: (code points): about 200 bytes each, 500 at most.
+REMEMBERED, LONGEST = 600_000, 64
 #: Ids in one round and block, more than a block has documents.
 _IDS = 1 << 16
 
@@ -59,6 +60,13 @@ def _byte_names() -> dict[int, str]:
     return {c: "".join(names[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
 
+def _is_plain(text: str) -> bool:
+    try:
+        return not text.encode("latin-1").translate(None, PLAIN)
+    except UnicodeEncodeError:
+        return False
+
+
 class _Remembered(dict[str, bytes]):
     """Ids of words, worked out when first needed. Of those not needed lately the older half is
     forgotten."""
@@ -94,7 +102,7 @@ class Encoder:
         self._tokenizer = Tokenizer.from_str(tokenizer)
         self._tokenizer.encode_special_tokens = True
         self._model, self._names = self._tokenizer.model, _byte_names()
-        # Most chunks are one word; only new ones are split into their words.
+        # Most chunks are one word; of an odd text only new ones are split into their words.
         self._words, self._chunks = _Remembered(self._word), _Remembered(self._chunk)
 
     def _word(self, word: str) -> bytes:
@@ -111,12 +119,36 @@ class Encoder:
     def _other(self, chunk: str) -> bytes:
         return array("I", self._tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Each text's ids. Arrow cuts the plain ones into chunks, tells these apart, so that a chunk
+        is encoded once however often it occurs, and joins the ids of a text's chunks."""
+        plain = [_is_plain(text) for text in texts]
+        chosen = pa.array([text for text, own in zip(texts, plain) if own], pa.large_string())
+        # In plain text no blank but those of `BLANK` occurs.
+        chunks = pc.ascii_split_whitespace(pc.utf8_lower(chosen))
+        distinct = chunks.flatten().dictionary_encode()
+        words, split = self._words, WORDS.findall
+        # In plain text letters alone are one word.
+        ids = [
+            words[chunk] if chunk.isalpha() else b"".join([words[word] for word in split(chunk)])
+            for chunk in distinct.dictionary.to_pylist()
+        ]
+        joined = pa.array(ids, pa.large_binary()).take(distinct.indices)
+        _, starts, content = joined.buffers()
+        starts = np.frombuffer(starts, np.int64)[: len(joined) + 1] if len(joined) else np.zeros(1, np.int64)
+        last = np.cumsum(pc.list_value_length(chunks).to_numpy())
+        ends, view, begin = iter(starts[last].tolist()), memoryview(content or b""), 0
+        for text, own in zip(texts, plain):
+            if own:
+                end = next(ends)
+                yield bytes(view[begin:end])
+                begin = end
+            else:
+                yield self.encode(text)
+
     def encode(self, text: str) -> bytes:
-        try:
-            if not text.encode("latin-1").translate(None, PLAIN):
-                return self._plain(text)
-        except UnicodeEncodeError:
-            pass
+        if _is_plain(text):
+            return self._plain(text)
         found, at = [], 0
         for odd in ODD.finditer(text):
             if odd.start() < at:
@@ -153,8 +185,24 @@ _PIECE = pa.schema(
         ("ids", pa.binary()),
     ]
 )
-#: Bytes of ids handed on at a time.
-_HANDED = 8 << 20
+#: Bytes of ids handed on at a time; characters of texts encoded together (one more text may come on
+#: top).
+_HANDED, TOGETHER = 8 << 20, 16 << 20
+
+
+def _together(source: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str]]]:
+    """doc_ids and texts, as many as are encoded together."""
+    doc_ids, texts, held = [], [], 0
+    for given in source:
+        for doc_id, text in zip(given.column(0).to_pylist(), given.column(1)):
+            doc_ids.append(doc_id)
+            texts.append(text.as_py())
+            held += len(texts[-1])
+            if held >= TOGETHER:
+                yield doc_ids, texts
+                doc_ids, texts, held = [], [], 0
+    if texts:
+        yield doc_ids, texts
 
 
 def _pieces(tokenizer: Broadcast[str], capacity: int, end: bytes):
@@ -167,9 +215,9 @@ def _pieces(tokenizer: Broadcast[str], capacity: int, end: bytes):
                 [pa.array(c, f.type) for c, f in zip(columns, _PIECE)], schema=_PIECE
             )
 
-        for given in source:
-            for doc_id, text in zip(given.column(0).to_pylist(), given.column(1)):
-                ids = encoder.encode(text.as_py()) + end
+        for doc_ids, texts in _together(source):
+            for doc_id, found in zip(doc_ids, encoder.encode_all(texts)):
+                ids = found + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     rows.append((doc_id, piece, at // 4, len(own) // 4, zlib.crc32(own), own))

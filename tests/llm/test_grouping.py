@@ -132,6 +132,33 @@ def test_words_are_forgotten_by_halves(tokenizer, whole, monkeypatch):
     assert max(len(encoder._words), len(encoder._chunks)) <= 3
 
 
+def test_texts_encoded_together_give_the_ids_of_each(tokenizer, whole, monkeypatch):
+    encoder, pick = packing.Encoder(tokenizer), random.Random(8)
+    parts = ["hello", "École", "don't", "ÿß", "×", "a1b22", "...", "'", "'S", "A", " ", " ", "\n", "漢", "\x0b"]
+    texts = ["", " ", "\n", "plain", *("".join(pick.choices(parts, k=pick.randrange(20))) for _ in range(2000))]
+    want = [whole(text) for text in texts]
+    got = [list(np.frombuffer(ids, "<u4")) for ids in encoder.encode_all(texts)]
+    assert got == want
+    assert [list(encoder.encode_all(some)) for some in ([], [""], ["漢"])] == [[], [b""], [encoder.encode("漢")]]
+
+    # A chunk is encoded once, however often it occurs in the texts.
+    seen = []
+    encoder = packing.Encoder(tokenizer)
+    monkeypatch.setattr(encoder, "_words", type("Counted", (), {"__getitem__": lambda _, w: seen.append(w) or b"...."})())
+    assert list(encoder.encode_all(["one two one", "two one"])) == [b"...." * 3, b"...." * 2]
+    assert sorted(seen) == ["one", "two"]
+
+
+def test_texts_are_taken_together_up_to_a_size(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "TOGETHER", 10)
+    texts = ["abcd", "", "é" * 30, "x", "y" * 9, "z"]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i, None]), pa.array(texts[i : i + 2])], ["d", "t"]) for i in (0, 2, 4)]
+    got = list(packing._together(batches))
+    assert got == [([0, None, 2], texts[:3]), ([None, 4], texts[3:5]), ([None], texts[5:])]
+
+
 @pytest.mark.parametrize("block", [16, 2048])
 def test_packing(spark, spelled, tokenizer, whole, block):
     rows = [(r["doc_id"], (r["text"] or "")[: 40 * (n % 7)]) for n, r in enumerate(spelled.collect())]
