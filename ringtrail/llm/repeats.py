@@ -68,9 +68,11 @@ def anchor_table(texts: DataFrame, units: Units, window: int, gram: int) -> Data
     return staged(found, "anchors")
 
 
-def repeated_anchors(anchors: DataFrame, which: DataFrame) -> DataFrame:
-    """row, places (of its anchors whose hashes are in `which`), staged; `anchors` is released."""
-    places = anchors.join(which, "hash").groupBy("row").agg(F.collect_list("place").alias("places"))
+def repeated_anchors(anchors: DataFrame, which: DataFrame, *marks: str) -> DataFrame:
+    """row, places (of its anchors whose hashes are in `which`), and for each mark, a boolean column
+    of `which`, the places where it is true; staged. `anchors` is released."""
+    marked = [F.collect_list(F.when(F.col(m), F.col("place"))).alias(m) for m in marks]
+    places = anchors.join(which, "hash").groupBy("row").agg(F.collect_list("place").alias("places"), *marked)
     found = staged(places, "places")
     release(anchors)
     return found

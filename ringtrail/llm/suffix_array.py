@@ -141,22 +141,24 @@ def repeats(
     return gone
 
 
-SUFFIXES = "key long, order long, row long, place int, n int, body binary"
+SUFFIXES = "key long, order long, row long, place int, n int, body binary, hot boolean"
 
 
 def _suffixes(window: int):
-    """From row, order, body and the places of repeated anchors: runs of windows with the same
-    anchor, its hash, and the bytes they cover."""
+    """From row, order, body, the places of repeated anchors and of hot ones: runs of windows with the
+    same anchor, its hash, the bytes they cover, and whether the anchor is hot."""
 
     def run(source: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for given in source:
-            for row, order, body, places in zip(
+            for row, order, body, places, hot in zip(
                 given.column(0).to_pylist(),
                 given.column(1).to_pylist(),
                 given.column(2),
                 given.column(3),
+                given.column(4),
             ):
                 text, at = body.as_py(), np.sort(places.values.to_numpy())
+                hot_at = hot.values.to_numpy()
                 for batch in batches([(row, np.frombuffer(text, np.uint8))], window, GRAM):
                     chosen = chosen_windows(batch, at)
                     if not chosen.size:
@@ -164,14 +166,16 @@ def _suffixes(window: int):
                     first, last = runs_of(batch, chosen)
                     place, n = batch.place(batch.start[first]), last - first + 1
                     ends = (place + n + window - 1).tolist()
+                    anchor = batch.anchor[first]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(batch.hashes[batch.anchor[first]].view(np.int64)),
+                            pa.array(batch.hashes[anchor].view(np.int64)),
                             pa.array(np.full(len(n), order, np.int64)),
                             pa.array(np.full(len(n), row, np.int64)),
                             pa.array(place.astype(np.int32)),
                             pa.array(n.astype(np.int32)),
                             pa.array([text[b:e] for b, e in zip(place.tolist(), ends)], pa.binary()),
+                            pa.array(np.isin(batch.place(anchor), hot_at)),
                         ],
                         [f.split()[0] for f in SUFFIXES.split(", ")],
                     )
@@ -254,19 +258,21 @@ def repeated_starts(texts: DataFrame, window: int, hot_rows: int) -> DataFrame:
     """row, place, n: runs of starts of windows that also start earlier."""
     anchors = anchor_table(texts, lambda body: np.frombuffer(body, np.uint8), window, GRAM)
     often = staged(anchors.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1"), "often")
-    hot = often.where(F.col("n") > hot_rows).select(F.col("hash").alias("key"))
-    candidates = repeated_anchors(anchors, often.select("hash"))
-    source = texts.join(candidates, "row").select("row", "order", "body", "places")
+    is_hot = (F.col("n") > hot_rows).alias("hot")
+    any_hot = not often.where(is_hot).isEmpty()
+    candidates = repeated_anchors(anchors, often.select("hash", is_hot), "hot")
+    source = texts.join(candidates, "row").select("row", "order", "body", "places", "hot")
     found = staged(source.mapInArrow(_suffixes(window), SUFFIXES), "suffixes")
     release(candidates)
-    if hot.isEmpty():
+    if not any_hot:
         return _by_sort(found, window)
-    some = _by_sort(found.join(hot, "key", "left_anti"), window)
-    return some.unionByName(_by_digest(found.join(hot, "key", "left_semi"), window))
+    return _by_sort(found.where("not hot"), window).unionByName(_by_digest(found.where("hot"), window))
 
 
 def _by_sort(found: DataFrame, window: int) -> DataFrame:
-    dealt = found.repartition("key").sortWithinPartitions("key")
+    """`found` comes as it was stored. After a join by key, Spark takes this repartition for the join's
+    own shuffle, and reads that by mapper once the join has become a broadcast: buckets fall apart."""
+    dealt = found.drop("hot").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(_sorted_blocks(window), "row long, place int, n int")
 
 

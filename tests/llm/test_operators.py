@@ -237,6 +237,29 @@ def test_suffix_array(awkward, hot_rows):
     assert sorted(got) == sorted(want)
 
 
+def test_buckets_stay_whole_beside_hot_ones(spark, setting):
+    # A join that becomes a broadcast at run time must not undo the shuffle by anchor.
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    pick = random.Random(11)
+    say = lambda n: "".join(pick.choice("abcdefgh ") for _ in range(n))
+    passages = [say(300) for _ in range(20)]
+    texts = [say(50) + passages[i % 20] + say(50) for i in range(120)] + ["z" * 400, say(9) + "z" * 300]
+    window, seen, want = 100, set(), []
+    for i, t in enumerate(texts):
+        gone = set()
+        for p in range(len(t) - window + 1):
+            if t[p : p + window] in seen:
+                gone |= set(range(p, p + window))
+            seen.add(t[p : p + window])
+        want.append((i, "".join(c for p, c in enumerate(t) if p not in gone)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = suffix_array.remove_repeats(docs, window, hot_rows=150).collect()
+    got = [(r["doc_id"], texts[r["doc_id"]] if r["kept"] is None else r["kept"].decode()) for r in found]
+    assert sorted(got) == want
+
+
 def test_byte_bpe_is_what_the_library_gives(awkward):
     import public_tokenizers
     import tiktoken
